@@ -1,0 +1,5 @@
+"""Kept empty on purpose: every step is a full batch rebuild.
+
+Replayed rows, the only stream-like input, are settled in batch by
+:func:`stellate.operators.dedupe.latest_per_key`.
+"""
