@@ -1,0 +1,19 @@
+"""Size-checked broadcast for joins of a whole fact with a dimension (JN-2)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# The most rows a broadcast dimension may hold; with a few narrow columns well under 100 MB.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a side that was counted to hold at most ``max_rows`` rows; leave any other as it is.
+
+    Spark's estimate of a join is the product of its sides, so a small dimension built by a
+    join looks large, and adaptive execution learns its size only after the fact has been
+    shuffled. The count stops one row past the bound. A larger side goes through a shuffle
+    join, whose hot keys adaptive execution splits.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

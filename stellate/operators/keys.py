@@ -1,11 +1,7 @@
-"""Key uniqueness and reference checks over whole tables (JN-7, AGG-14, DQ-1..3)."""
+"""References checked by an anti join (JN-7)."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -20,88 +16,3 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str, nullable
     rows = child.where(F.col(column).isNotNull()) if nullable else child
     same = F.col(column) == F.col("_known") if nullable else F.col(column).eqNullSafe(F.col("_known"))
     return rows.join(known, same, "left_anti")
-
-
-@dataclass(frozen=True)
-class Reference:
-    """A column that must hold keys of another table."""
-
-    table: str
-    column: str
-    parent: str
-    nullable: bool = False
-
-
-def key_census(
-    tables: Mapping[str, DataFrame], keys: Mapping[str, str], references: Sequence[Reference]
-) -> DataFrame:
-    """Offence counts of every unique key and reference: (table_name, column_name, rule, offending).
-
-    All rules share one shuffle. Each table is scanned once and sends the values of its
-    key and references, tagged with the table that owns the key; counting per (owner,
-    value) then shows repeats and references without an owner. The counts are combined
-    before the shuffle, so no value is hot, and grouping treats NULL as a value.
-
-    ``offending`` is the number of surplus rows for a key, and of child rows for a reference.
-    """
-    # Slot 0 of an owner is its own key, the next slots are the references to it.
-    slots = {
-        owner: [(owner, column, False)]
-        + [(r.table, r.column, r.nullable) for r in references if r.parent == owner]
-        for owner, column in keys.items()
-    }
-    width = max(len(s) for s in slots.values())
-    counts = [f"n{i}" for i in range(width)]
-
-    def sent_by(table: str) -> DataFrame:
-        values = [
-            F.struct(
-                F.lit(number).alias("owner"),
-                F.col(column).cast("bigint").alias("value"),
-                F.lit(slot).alias("slot"),
-                F.lit(nullable).alias("nullable"),
-            )
-            for number, owner in enumerate(slots)
-            for slot, (source, column, nullable) in enumerate(slots[owner])
-            if source == table
-        ]
-        return tables[table].select(F.inline(F.array(*values)))
-
-    sources = dict.fromkeys(source for s in slots.values() for source, _, _ in s)
-    sent = reduce(DataFrame.unionAll, (sent_by(t) for t in sources))
-    sent = sent.where(~F.col("nullable") | F.col("value").isNotNull())
-    per_value = sent.groupBy("owner", "value").agg(
-        *(F.count_if(F.col("slot") == i).alias(n) for i, n in enumerate(counts))
-    )
-    offences = [F.sum(F.greatest(F.col("n0") - 1, F.lit(0)))] + [
-        F.sum(F.when(F.col("n0") == 0, F.col(n)).otherwise(0)) for n in counts[1:]
-    ]
-    per_owner = per_value.groupBy("owner").agg(*(e.alias(n) for e, n in zip(offences, counts)))
-
-    # One row for all rules, so that a rule over empty tables is reported with 0 offences.
-    rules = [
-        (number, counts[slot], table, column, "unique" if slot == 0 else f"references {owner}")
-        for number, owner in enumerate(slots)
-        for slot, (table, column, _) in enumerate(slots[owner])
-    ]
-    flat = per_owner.agg(
-        *(
-            F.coalesce(F.sum(F.when(F.col("owner") == number, F.col(n))), F.lit(0)).alias(f"r{i}")
-            for i, (number, n, *_) in enumerate(rules)
-        )
-    )
-    return flat.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(table).alias("table_name"),
-                        F.lit(column).alias("column_name"),
-                        F.lit(rule).alias("rule"),
-                        F.col(f"r{i}").alias("offending"),
-                    )
-                    for i, (_, _, table, column, rule) in enumerate(rules)
-                )
-            )
-        )
-    )

@@ -144,15 +144,15 @@ class Models:
 
     @property
     def dq_pk(self) -> DataFrame:
-        return quality.report(quality.check_keys(self.source, references=()))
+        return quality.run_checks(self.source, references=(), row_rules=())
 
     @property
     def dq_fk(self) -> DataFrame:
-        return quality.report(quality.check_keys(self.source).where(F.col("rule") != "unique"))
+        return quality.run_checks(self.source, row_rules=()).where(F.col("rule") != "unique")
 
     @property
     def dq_rules(self) -> DataFrame:
-        return quality.report(quality.check_rows(self.source))
+        return quality.run_checks(self.source, keys={}, references=())
 
     @property
     def dq_report(self) -> DataFrame:

@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from stellate.operators.keys import Reference, key_census
+from stellate.operators.census import Reference, RowRule, census
 from stellate.sources.schemas import PRIMARY_KEYS
 
 
-@dataclass(frozen=True)
-class RowRule:
-    """A condition no row of a table may meet; NULL does not meet it."""
-
-    table: str
-    column: str
-    rule: str
-    offends: Callable[[], Column]
-
-
 def outside(column: str, allowed: Sequence, nullable: bool = False) -> Column:
     """The value is none of the allowed ones; NULL counts as one of them only if ``nullable``."""
     return ~F.coalesce(F.col(column).isin(*allowed), F.lit(nullable))
@@ -62,34 +50,6 @@ class QualityError(Exception):
     """A gate rule failed."""
 
 
-def check_keys(
-    tables: Mapping[str, DataFrame],
-    keys: Mapping[str, str] = PRIMARY_KEYS,
-    references: Sequence[Reference] = REFERENCES,
-) -> DataFrame:
-    return key_census(tables, keys, references)
-
-
-def check_rows(tables: Mapping[str, DataFrame], rules: Sequence[RowRule] = ROW_RULES) -> DataFrame:
-    """Offending rows per rule; all rules of a table are counted in one scan of it."""
-
-    def of_table(table: str) -> DataFrame:
-        own = [r for r in rules if r.table == table]
-        counted = tables[table].agg(*(F.count_if(r.offends()).alias(f"r{i}") for i, r in enumerate(own)))
-        rows = (
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(r.column).alias("column_name"),
-                F.lit(r.rule).alias("rule"),
-                F.col(f"r{i}").alias("offending"),
-            )
-            for i, r in enumerate(own)
-        )
-        return counted.select(F.inline(F.array(*rows)))
-
-    return reduce(DataFrame.unionByName, (of_table(t) for t in dict.fromkeys(r.table for r in rules)))
-
-
 def report(offences: DataFrame, warnings: Sequence[tuple[str, str, str]] = WARNINGS) -> DataFrame:
     """Offence counts with a verdict: (table_name, column_name, rule, severity, offending, passed)."""
     rule = F.concat_ws("|", "table_name", "column_name", "rule")
@@ -104,15 +64,20 @@ def report(offences: DataFrame, warnings: Sequence[tuple[str, str, str]] = WARNI
     )
 
 
-def run_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every rule over the six source tables, one row per rule."""
-    return report(check_keys(tables).unionByName(check_rows(tables)))
+def run_checks(
+    tables: Mapping[str, DataFrame],
+    keys: Mapping[str, str] = PRIMARY_KEYS,
+    references: Sequence[Reference] = REFERENCES,
+    row_rules: Sequence[RowRule] = ROW_RULES,
+) -> DataFrame:
+    """The given rules, by default all, over the six source tables, one row per rule."""
+    return report(census(tables, keys, references, row_rules))
 
 
 def check_staged(stg_registrations: DataFrame) -> DataFrame:
     """After staging no registration may repeat."""
-    staged = {"registrations": stg_registrations}
-    return report(check_keys(staged, {"registrations": PRIMARY_KEYS["registrations"]}, ()), warnings=())
+    key = {"registrations": PRIMARY_KEYS["registrations"]}
+    return report(census({"registrations": stg_registrations}, key), warnings=())
 
 
 def gate(checks: DataFrame) -> list[Row]:

@@ -17,12 +17,18 @@ REQUIRED = {
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings every model needs; sizes and memory stay with the cluster."""
+    """Apply the settings every model needs; sizes and memory stay with the cluster.
+
+    The daily partitions of a fact are listed by a few tasks per slot, not by one task each.
+    """
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    few_per_slot = 4 * spark.sparkContext.defaultParallelism
+    spark.conf.set(LISTING_TASKS, str(min(few_per_slot, int(spark.conf.get(LISTING_TASKS)))))
     return spark
 
 

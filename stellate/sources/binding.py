@@ -7,8 +7,10 @@ schemas, with padding, replays, orphans and NULLs for the models to handle.
 from __future__ import annotations
 
 import datetime as dt
+import re
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stellate.sources.schemas import SCHEMAS
 
@@ -16,146 +18,114 @@ from stellate.sources.schemas import SCHEMAS
 CALENDAR = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 CLIPPED_CALENDAR = (dt.date(1996, 1, 1), dt.date(2000, 12, 31))
 
-_FIRST_DAY = dt.date(1995, 1, 1)
-
-
-class Bound:
-    """The six source tables over one data folder; each is built when asked for."""
+# Source table -> its rows; given tables stand in braces.
+BINDINGS = {
+    "clubs": """
+        SELECT s_suppkey AS club_id,
+               '  ' || s_name || ' ' AS name,
+               if(s_suppkey % 4 = 0, n_name || ' ', n_name) AS city,
+               lower(n_name) AS country,
+               timestamp '1995-01-01 00:00:00' AS created_at
+        FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
+    "players": """
+        SELECT c_custkey AS player_id,
+               if(c_custkey % 33 = 0, '  ' || c_name || '  ', c_name) AS full_name,
+               if(c_custkey % 7 = 0, ' Player' || c_custkey || '@Example.com ',
+                  'player' || c_custkey || '@example.com') AS email,
+               if(c_custkey % 20 = 0, lower(n_name), n_name) AS country,
+               CASE WHEN c_custkey % 25 = 0 THEN NULL
+                    WHEN c_custkey % 10 = 3 THEN 'x'
+                    WHEN c_custkey % 2 = 0 THEN 'm'
+                    ELSE 'F' END AS gender,
+               if(c_custkey % 97 = 5, NULL,
+                  date_add(date '1950-01-01', int(c_custkey * 7919 % 23000))) AS date_of_birth,
+               timestamp(date_add(date '1995-01-01', int(c_custkey * 31 % 2000))) AS created_at
+        FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey""",
+    "tournaments": """
+        SELECT p_partkey AS tournament_id,
+               if(p_partkey % 50 = 49, -1L, p_partkey div 20) AS club_id,
+               ' ' || p_name AS name,
+               p_type AS category,
+               if(p_size <= 25, 'Indoor', 'Outdoor') AS surface,
+               bigint(4000 + 2000 * (p_partkey % 5)) AS entry_fee_cents,
+               'AUD' AS currency,
+               CASE p_partkey % 3 WHEN 0 THEN 8L WHEN 1 THEN 16L ELSE 32L END AS max_teams,
+               date_add(date '1995-01-01', int(p_partkey * 13 % 2500)) AS start_date,
+               date_add(date '1995-01-01', int(p_partkey * 13 % 2500 + 1 + p_size % 3)) AS end_date,
+               CASE WHEN p_partkey % 13 = 0 THEN 'cancelled'
+                    WHEN p_partkey % 29 = 7 THEN NULL
+                    WHEN p_partkey % 5 = 0 THEN 'scheduled'
+                    ELSE 'completed' END AS status,
+               timestamp '1995-01-01 00:00:00' AS created_at
+        FROM {part}""",
+    "registrations": """
+        SELECT l_orderkey * 8 + l_linenumber AS registration_id,
+               if(l_partkey % 41 = 11, l_partkey + 1000000, l_partkey) AS tournament_id,
+               o_custkey AS player_id,
+               if(l_orderkey % 9 = 0, NULL,
+                  (o_custkey + 1 + l_linenumber) % (SELECT count(*) FROM {customer})) AS partner_player_id,
+               bigint(if(l_linenumber <= 4, l_linenumber, NULL)) AS seed,
+               bigint(CASE WHEN l_returnflag NOT IN ('A', 'R') OR l_orderkey % 211 = 0 THEN 0
+                           ELSE 4000 + 2000 * (l_partkey % 5) END) AS amount_paid_cents,
+               CASE WHEN l_orderkey % 307 = 0 THEN 'unknown'
+                    WHEN l_returnflag = 'A' THEN 'paid'
+                    WHEN l_returnflag = 'R' THEN 'refunded'
+                    WHEN l_linestatus = 'F' THEN 'pending'
+                    ELSE 'waived' END AS payment_status,
+               timestamp(l_shipdate) AS registered_at
+        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey""",
+    "payments": """
+        SELECT o_orderkey AS payment_id,
+               o_orderkey * 8 + 1 AS registration_id,
+               o_orderpriority AS provider,
+               bigint(round(o_totalprice * 100)) AS amount_cents,
+               'AUD' AS currency,
+               CASE o_orderstatus WHEN 'F' THEN 'succeeded' WHEN 'P' THEN 'refunded'
+                                  ELSE 'failed' END AS status,
+               timestamp(o_orderdate) AS created_at
+        FROM {orders}""",
+    "matches": """
+        SELECT event_id AS match_id,
+               event_id % (SELECT count(*) FROM {part}) AS tournament_id,
+               'R' || event_id % 5 AS round,
+               'Court ' || (1 + event_id % 6) AS court,
+               if(event_id % 101 = 3, NULL, timestamp(ts)) AS scheduled_at,
+               user_id AS team1_player1,
+               if(event_id % 4 = 0, NULL, user_id + 1) AS team1_player2,
+               event_id * 3 div 20 AS team2_player1,
+               if(event_id % 6 = 0, NULL,
+                  event_id * 7 % (SELECT count(*) FROM {customer})) AS team2_player2,
+               if(event_id % 19 = 0, NULL, 1 + (event_id + user_id) % 2) AS winner_team,
+               '6-3 6-4' AS score,
+               CASE event_type WHEN 'error' THEN 'walkover' WHEN 'view' THEN 'scheduled'
+                               ELSE 'played' END AS status
+        FROM {events}""",
+}
+
+
+class Bound(Mapping[str, DataFrame]):
+    """The six source tables over one data folder; each plan is built once, when asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark = spark
         self._folder = folder
+        self._given: dict[str, DataFrame] = {}
+        self._bound: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:
-        if table not in SCHEMAS:
-            raise KeyError(table)
-        df = getattr(self, f"_{table}")()
-        return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[table]))
+        if table not in self._bound:
+            text = BINDINGS[table]
+            given = {name: self._read(name) for name in re.findall(r"{(\w+)}", text)}
+            self._bound[table] = self._spark.sql(text, **given).to(SCHEMAS[table])
+        return self._bound[table]
 
-    def __iter__(self):
-        return iter(SCHEMAS)
+    def __iter__(self) -> Iterator[str]:
+        return iter(BINDINGS)
 
-    def keys(self):
-        return SCHEMAS.keys()
+    def __len__(self) -> int:
+        return len(BINDINGS)
 
     def _read(self, table: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{table}.parquet")
-
-    def _rows(self, table: str) -> Column:
-        return self._read(table).agg(F.count(F.lit(1))).scalar()
-
-    def _clubs(self) -> DataFrame:
-        nation = self._read("nation")
-        named = self._read("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        return named.select(
-            F.col("s_suppkey").alias("club_id"),
-            F.concat(F.lit("  "), "s_name", F.lit(" ")).alias("name"),
-            F.when(F.col("s_suppkey") % 4 == 0, F.concat("n_name", F.lit(" ")))
-            .otherwise(F.col("n_name"))
-            .alias("city"),
-            F.lower("n_name").alias("country"),
-            F.lit(_FIRST_DAY).alias("created_at"),
-        )
-
-    def _players(self) -> DataFrame:
-        nation = self._read("nation")
-        named = self._read("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        key = F.col("c_custkey")
-        return named.select(
-            key.alias("player_id"),
-            F.when(key % 33 == 0, F.concat(F.lit("  "), "c_name", F.lit("  ")))
-            .otherwise(F.col("c_name"))
-            .alias("full_name"),
-            F.when(key % 7 == 0, F.concat(F.lit(" Player"), key, F.lit("@Example.com ")))
-            .otherwise(F.concat(F.lit("player"), key, F.lit("@example.com")))
-            .alias("email"),
-            F.when(key % 20 == 0, F.lower("n_name")).otherwise(F.col("n_name")).alias("country"),
-            F.when(key % 25 != 0, F.when(key % 10 == 3, "x").when(key % 2 == 0, "m").otherwise("F")).alias(
-                "gender"
-            ),
-            F.when(key % 97 != 5, _days_after(dt.date(1950, 1, 1), key * 7919 % 23000)).alias("date_of_birth"),
-            _days_after(_FIRST_DAY, key * 31 % 2000).alias("created_at"),
-        )
-
-    def _tournaments(self) -> DataFrame:
-        key = F.col("p_partkey")
-        offset = key * 13 % 2500
-        return self._read("part").select(
-            key.alias("tournament_id"),
-            F.when(key % 50 == 49, -1).otherwise(F.floor(key / 20)).alias("club_id"),
-            F.concat(F.lit(" "), "p_name").alias("name"),
-            F.col("p_type").alias("category"),
-            F.when(F.col("p_size") <= 25, "Indoor").otherwise("Outdoor").alias("surface"),
-            (4000 + 2000 * (key % 5)).alias("entry_fee_cents"),
-            F.lit("AUD").alias("currency"),
-            F.when(key % 3 == 0, 8).when(key % 3 == 1, 16).otherwise(32).alias("max_teams"),
-            _days_after(_FIRST_DAY, offset).alias("start_date"),
-            _days_after(_FIRST_DAY, offset + 1 + F.col("p_size") % 3).alias("end_date"),
-            F.when(key % 13 == 0, "cancelled")
-            .when(key % 29 == 7, F.lit(None))
-            .when(key % 5 == 0, "scheduled")
-            .otherwise("completed")
-            .alias("status"),
-            F.lit(_FIRST_DAY).alias("created_at"),
-        )
-
-    def _registrations(self) -> DataFrame:
-        orders = self._read("orders").select("o_orderkey", "o_custkey")
-        order, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-        flag = F.col("l_returnflag")
-        fee = F.when(order % 211 == 0, 0).otherwise(4000 + 2000 * (part % 5))
-        return (
-            self._read("lineitem")
-            .join(orders, order == F.col("o_orderkey"))
-            .select(
-                (order * 8 + line).alias("registration_id"),
-                F.when(part % 41 == 11, part + 1000000).otherwise(part).alias("tournament_id"),
-                F.col("o_custkey").alias("player_id"),
-                F.when(order % 9 != 0, (F.col("o_custkey") + 1 + line) % self._rows("customer")).alias(
-                    "partner_player_id"
-                ),
-                F.when(line <= 4, line).alias("seed"),
-                F.when(flag.isin("A", "R"), fee).otherwise(0).alias("amount_paid_cents"),
-                F.when(order % 307 == 0, "unknown")
-                .when(flag == "A", "paid")
-                .when(flag == "R", "refunded")
-                .when(F.col("l_linestatus") == "F", "pending")
-                .otherwise("waived")
-                .alias("payment_status"),
-                F.col("l_shipdate").alias("registered_at"),
-            )
-        )
-
-    def _payments(self) -> DataFrame:
-        state = F.col("o_orderstatus")
-        return self._read("orders").select(
-            F.col("o_orderkey").alias("payment_id"),
-            (F.col("o_orderkey") * 8 + 1).alias("registration_id"),
-            F.col("o_orderpriority").alias("provider"),
-            F.round(F.col("o_totalprice") * 100).alias("amount_cents"),
-            F.lit("AUD").alias("currency"),
-            F.when(state == "F", "succeeded").when(state == "P", "refunded").otherwise("failed").alias("status"),
-            F.col("o_orderdate").alias("created_at"),
-        )
-
-    def _matches(self) -> DataFrame:
-        key, user = F.col("event_id"), F.col("user_id")
-        kind = F.col("event_type")
-        return self._read("events").select(
-            key.alias("match_id"),
-            (key % self._rows("part")).alias("tournament_id"),
-            F.concat(F.lit("R"), key % 5).alias("round"),
-            F.concat(F.lit("Court "), 1 + key % 6).alias("court"),
-            F.when(key % 101 != 3, F.col("ts")).alias("scheduled_at"),
-            user.alias("team1_player1"),
-            F.when(key % 4 != 0, user + 1).alias("team1_player2"),
-            F.floor(key * 3 / 20).alias("team2_player1"),
-            F.when(key % 6 != 0, key * 7 % self._rows("customer")).alias("team2_player2"),
-            F.when(key % 19 != 0, 1 + (key + user) % 2).alias("winner_team"),
-            F.lit("6-3 6-4").alias("score"),
-            F.when(kind == "error", "walkover").when(kind == "view", "scheduled").otherwise("played").alias("status"),
-        )
-
-
-def _days_after(start: dt.date, days: Column) -> Column:
-    return F.date_add(F.lit(start), days.cast("int"))
+        if table not in self._given:
+            self._given[table] = self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        return self._given[table]
