@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
             "spark.checkpoint.dir": str(folder / "shared"),
             "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "10000",  # whole filters in plan texts
         },
     )
     yield prepare(session)
