@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import cached_property
 
@@ -22,6 +23,7 @@ class Models:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self.source = Bound(spark, folder)
+        self.run = re.sub(r"\W", "_", folder.rstrip("/").rsplit("/", 1)[-1])
 
     # Staging
 
@@ -198,14 +200,14 @@ class Models:
 
     def landing(self, table: str) -> DataFrame:
         """A source table written as JSON lines and read back under its declared schema."""
-        path = scratch_dir(self.spark, f"landing/{table}.ndjson")
+        path = scratch_dir(self.spark, f"{self.run}/landing/{table}.ndjson")
         write_lines(self.source[table], path)
         return read_landing(self.spark, path, SCHEMAS[table], reject_unknown=True)
 
     @property
     def landing_unknown_fields(self) -> DataFrame:
         """Payments exported with two fields the schema does not have, one of them often absent."""
-        path = scratch_dir(self.spark, "landing/payments_extra.ndjson")
+        path = scratch_dir(self.spark, f"{self.run}/landing/payments_extra.ndjson")
         extra = self.source["payments"].select(
             "*",
             F.col("payment_id").alias("export_row"),
@@ -216,7 +218,7 @@ class Models:
 
     def sink_roundtrip(self, fact: str) -> DataFrame:
         """A fact written partitioned and clustered, and read back."""
-        path = scratch_dir(self.spark, f"sink/{fact}")
+        path = scratch_dir(self.spark, f"{self.run}/sink/{fact}")
         partition_by, cluster_by, grain = facts.LAYOUT[fact]
         df = getattr(self, fact)
         laid_out = clustered(df, partition_by, cluster_by, grain)
@@ -225,7 +227,8 @@ class Models:
 
     def deploy(self) -> Warehouse:
         """The whole build, into layers of its own; the sources' known offences are only reported."""
-        warehouse = Warehouse(self.spark, prefix="stellate_", root=scratch_dir(self.spark, "warehouse"))
+        root = scratch_dir(self.spark, f"{self.run}/warehouse")
+        warehouse = Warehouse(self.spark, prefix=f"stellate_{self.run}_", root=root)
         pipeline.build(warehouse, self.source, calendar=CALENDAR, strict=False)
         return warehouse
 

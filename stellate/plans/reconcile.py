@@ -94,7 +94,7 @@ def compare(
             for m in names
             for which in (0, 1)
         ]
-        return df.select(key.cast("string").alias("key"), *values)
+        return df.select(key.alias("key"), *values)
 
     paired = (
         side(expected, 0)
@@ -106,7 +106,7 @@ def compare(
         *(
             F.struct(
                 F.lit(m).alias("metric"),
-                F.col("key"),
+                F.col("key").cast("string").alias("key"),
                 F.col(f"{m}_0").alias("expected"),
                 F.col(f"{m}_1").alias("actual"),
             )

@@ -36,7 +36,13 @@ class Warehouse:
 
     def create_layers(self) -> None:
         for layer, comment in LAYERS.items():
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} COMMENT '{comment}'")
+            create = f"CREATE DATABASE IF NOT EXISTS {self.database(layer)} COMMENT '{comment}'"
+            if self.root is not None:
+                create += f" LOCATION '{self._folder(layer)}'"
+            self.spark.sql(create)
+
+    def _folder(self, layer: str) -> str:
+        return f"{self.root}/{self.database(layer)}"
 
     def replace(
         self,
@@ -53,7 +59,7 @@ class Warehouse:
         if partition_by is not None:
             writer = writer.partitionBy(partition_by)
         if self.root is not None:
-            writer = writer.option("path", f"{self.root}/{self.database(layer)}/{table}")
+            writer = writer.option("path", f"{self._folder(layer)}/{table}")
         writer.saveAsTable(self.name(layer, table))
         return self.table(layer, table)
 

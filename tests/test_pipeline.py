@@ -3,7 +3,9 @@ import re
 
 import pytest
 
+from stellate.operators.keys import orphans
 from stellate.plans import dimensions, facts, marts, pipeline, quality, staging
+from stellate.session import scratch_dir
 from stellate.sinks.tables import LAYERS, Warehouse, clustered
 from tests.support import CLUBS, MATCHES, REGISTRATIONS, plan, rows, sources, ts
 
@@ -144,3 +146,40 @@ def test_clustered_write_spreads_a_hot_day_and_sorts_once(spark, tmp_path):
     assert len(hot_files) > 1 and len(all_files) <= 21 + 2 * 4
     back = spark.read.parquet(str(tmp_path / "f"))
     assert back.count() == 40_000 and back.exceptAll(hot.select(back.columns)).count() == 0
+
+
+def test_facts_refer_to_their_dimensions(built):
+    registrations = built.table("core", "fct_registration")
+    played = built.table("core", "fct_match_participation")
+    dates = built.table("core", "dim_date").selectExpr("unix_date(date_key) AS date_key")
+    links = [
+        (registrations, "player_key", "dim_player", "player_key"),
+        (registrations, "tournament_key", "dim_tournament", "tournament_key"),
+        (registrations, "club_key", "dim_club", "club_key"),
+        (played, "player_key", "dim_player", "player_key"),
+        (played, "tournament_key", "dim_tournament", "tournament_key"),
+    ]
+    for fact, column, dim, key in links:
+        assert orphans(fact, column, built.table("core", dim), key).count() == 0
+    for fact, column in ((registrations, "registered_date"), (played, "match_date")):
+        days = fact.selectExpr(f"unix_date({column}) AS day")
+        assert orphans(days, "day", dates, "date_key").count() == 0
+
+
+def test_fact_grains(built):
+    registrations = built.table("core", "fct_registration")
+    assert registrations.select("registration_id").distinct().count() == registrations.count()
+    played = built.table("core", "fct_match_participation")
+    assert played.select("match_id", "player_key").distinct().count() == played.count() == 4 * len(MATCHES)
+
+
+def test_clustered_write_is_not_sorted_again(spark):
+    spark.sql("CREATE TABLE sorted_once (k BIGINT, id BIGINT, d DATE) USING parquet PARTITIONED BY (d)")
+    rows_ = spark.range(100).selectExpr("id % 7 AS k", "id", "date_add(date '2024-01-01', int(id % 5)) AS d")
+    clustered(rows_, "d", ["k"], ["id"]).createOrReplaceTempView("laid_out")
+    text = spark.sql("EXPLAIN INSERT INTO sorted_once SELECT * FROM laid_out").first()[0]
+    assert text.count("Sort [") == 1 and "rangepartitioning(d" in text
+
+
+def test_scratch_lies_in_the_shared_folder(spark):
+    assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/")
