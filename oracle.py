@@ -443,10 +443,11 @@ MODEL_TABLES = (
     "headline",
 )
 
-SINKS = {
+MARTS = ("monthly_revenue", "tournament_fill", "player_leaderboard", "player_acquisition", "refund_rate")
+
+SINKS = {f"deployed_{name}": f"SELECT * FROM {name}" for name in MARTS} | {
     "sink_fct_registration": "SELECT * FROM fct_registration",
     "sink_fct_match_participation": "SELECT * FROM fct_match_participation",
-    "deployed_monthly_revenue": "SELECT * FROM monthly_revenue",
     "landing_unknown_fields": (
         "SELECT 'export_row' AS field, count(*) AS row_count FROM payments UNION ALL "
         "SELECT 'refund_note' AS field, count(*) AS row_count FROM payments WHERE status = 'refunded'"

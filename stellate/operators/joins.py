@@ -13,7 +13,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
     Spark's estimate of a join is the product of its sides, so a small dimension built by a
     join looks large, and adaptive execution learns its size only after the fact has been
-    shuffled. The count stops one row past the bound. A larger side goes through a shuffle
-    join, whose hot keys adaptive execution splits.
+    shuffled. The count runs at once; over a written table it reads file footers only. A larger
+    side goes through a shuffle join, whose hot keys adaptive execution splits.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -23,7 +23,7 @@ class Models:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self.source = Bound(spark, folder)
-        self.run = re.sub(r"\W", "_", folder.rstrip("/").rsplit("/", 1)[-1])
+        self.run = re.sub(r"\W+", "_", folder.strip("/"))
 
     # Staging
 
@@ -228,15 +228,15 @@ class Models:
     def deploy(self) -> Warehouse:
         """The whole build, into layers of its own; the sources' known offences are only reported."""
         root = scratch_dir(self.spark, f"{self.run}/warehouse")
-        warehouse = Warehouse(self.spark, prefix=f"stellate_{self.run}_", root=root)
-        pipeline.build(warehouse, self.source, calendar=CALENDAR, strict=False)
-        return warehouse
+        if root not in _DEPLOYED:
+            warehouse = Warehouse(self.spark, prefix=f"stellate_{self.run}_", root=root)
+            pipeline.build(warehouse, self.source, calendar=CALENDAR, strict=False)
+            _DEPLOYED[root] = warehouse
+        return _DEPLOYED[root]
 
-    @property
-    def deployed_monthly_revenue(self) -> DataFrame:
-        """The stored monthly revenue view after a whole build."""
-        return self.deploy().table("mart", "v_monthly_revenue")
 
+# Builds of this application by their folder; the deployed views share one.
+_DEPLOYED: dict[str, Warehouse] = {}
 
 # Names of Models attributes that are queries as they stand.
 PLAIN = (
@@ -280,7 +280,6 @@ PLAIN = (
     "reconcile_players",
     "reconcile_refunds",
     "landing_unknown_fields",
-    "deployed_monthly_revenue",
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -298,9 +297,14 @@ def _sink(fact: str) -> Query:
     return lambda spark, folder: Models(spark, folder).sink_roundtrip(fact)
 
 
+def _deployed(view: str) -> Query:
+    return lambda spark, folder: Models(spark, folder).deploy().table("mart", view)
+
+
 def queries() -> dict[str, Query]:
     return (
         {name: _plain(name) for name in PLAIN}
         | {f"landing_{table}": _landing(table) for table in SCHEMAS}
         | {f"sink_{fact}": _sink(fact) for fact in facts.LAYOUT}
+        | {f"deployed_{view.removeprefix('v_')}": _deployed(view) for view in marts.VIEWS}
     )

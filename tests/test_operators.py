@@ -27,6 +27,27 @@ def test_latest_per_key_settles_ties_by_the_other_columns(spark):
         assert [tuple(r) for r in latest_per_key(df, ["k"], "t").collect()] == [(1, 5, 2, "x")]
 
 
+def test_latest_per_key_against_brute_force(spark):
+    draw = random.Random(3)
+    for _ in range(4):
+        data = [
+            (
+                7 if draw.random() < 1 / 3 else draw.choice([None, 1, 2, 3]),
+                draw.choice([None, 10, 20, 30]),
+                draw.choice([None, 1, 2]),
+                draw.choice([None, "a", "b"]),
+            )
+            for _ in range(200)
+        ]
+        best = {}
+        for row in data:
+            rank = (row[1] is None, -(row[1] or 0), row[2] is None, row[2] or 0, row[3] is None, row[3] or "")
+            best[row[0]] = min(best.get(row[0], (rank, row)), (rank, row), key=lambda pair: pair[0])
+        df = spark.createDataFrame(data, "k bigint, t bigint, a bigint, b string").repartition(5)
+        got = {tuple(r) for r in latest_per_key(df, ["k"], "t").collect()}
+        assert got == {row for _, row in best.values()}
+
+
 def test_latest_per_key_keeps_one_row_per_task_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("if(id % 3 = 0, 0, id) AS k", "id AS t")
     text = plan(latest_per_key(df, ["k"], "t"))
