@@ -126,7 +126,12 @@ dim_date AS (
   SELECT day AS date_key, year(day) AS year, quarter(day) AS quarter, month(day) AS month,
          strftime(day, '%Y-%m') AS year_month, monthname(day) AS month_name, day(day) AS day_of_month,
          dayofweek(day) + 1 AS day_of_week, dayname(day) AS day_name, dayofweek(day) IN (0, 6) AS is_weekend
-  FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS day)
+  FROM (
+    SELECT CAST(unnest(generate_series(
+             make_date(year(min(registered_at)), 1, 1), make_date(year(max(registered_at)), 12, 31),
+             INTERVAL 1 DAY)) AS DATE) AS day
+    FROM registrations
+  )
 ),
 dim_player AS (
   SELECT player_id AS player_key, full_name, email, country, gender, date_of_birth, age_2026,

@@ -55,6 +55,10 @@ class Models:
 
     @cached_property
     def dim_date(self) -> DataFrame:
+        return dimensions.dim_date_of(self.source["registrations"], "registered_at")
+
+    @cached_property
+    def fixed_calendar(self) -> DataFrame:
         return dimensions.dim_date(self.spark, *CALENDAR)
 
     @cached_property
@@ -81,7 +85,7 @@ class Models:
 
     @cached_property
     def monthly_revenue(self) -> DataFrame:
-        return marts.monthly_revenue(self.fct_registration, self.dim_date, self.dim_tournament)
+        return marts.monthly_revenue(self.fct_registration, self.fixed_calendar, self.dim_tournament)
 
     @cached_property
     def monthly_revenue_clipped(self) -> DataFrame:

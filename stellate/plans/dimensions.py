@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stellate.functions.dates import CALENDAR_END, CALENDAR_START, day, is_weekend, month_text
 from stellate.functions.numbers import band
-from stellate.operators.calendar import date_range
+from stellate.operators.calendar import date_range, years_spanned
 
 # Age bands by exclusive upper bound, and the band above them.
 AGE_BANDS = ((18, "Under 18"), (30, "18-29"), (45, "30-44"), (60, "45-59"))
@@ -16,7 +16,17 @@ LAST_AGE_BAND = "60+"
 
 
 def dim_date(spark: SparkSession, start: dt.date = CALENDAR_START, end: dt.date = CALENDAR_END) -> DataFrame:
-    return date_range(spark, start, end).select(
+    """Every day of a fixed range."""
+    return _calendar(date_range(spark, start, end))
+
+
+def dim_date_of(df: DataFrame, column: str) -> DataFrame:
+    """Every day of the years a timestamp column covers."""
+    return _calendar(years_spanned(df.select(day(column).alias("day")), "day"))
+
+
+def _calendar(days: DataFrame) -> DataFrame:
+    return days.select(
         "date_key",
         F.year("date_key").cast("bigint").alias("year"),
         F.quarter("date_key").cast("bigint").alias("quarter"),

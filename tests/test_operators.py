@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from stellate.operators.calendar import date_range
+from stellate.operators.calendar import date_range, years_spanned
 from stellate.operators.census import Reference, RowRule, census
 from stellate.operators.dedupe import latest_per_key
 from stellate.operators.joins import broadcast_if_small
@@ -73,6 +73,13 @@ def test_date_range_is_inclusive_and_knows_leap_years(spark):
     assert date_range(spark, dt.date(2023, 1, 1), dt.date(2026, 12, 31)).count() == 1461
 
 
+def test_years_spanned(spark):
+    days = [(dt.date(2023, 11, 5),), (dt.date(2024, 1, 1),), (None,)]
+    got = [r.date_key for r in years_spanned(spark.createDataFrame(days, "d date"), "d").collect()]
+    assert got[0] == dt.date(2023, 1, 1) and got[-1] == dt.date(2024, 12, 31) and len(got) == 365 + 366
+    assert years_spanned(spark.createDataFrame([], "d date"), "d").count() == 0
+
+
 def test_orphans(spark):
     child = spark.createDataFrame([(1, 7), (2, 8), (3, None)], "id bigint, fk bigint")
     parent = spark.createDataFrame([(7,), (7,), (9,)], "pk bigint")
