@@ -44,7 +44,7 @@ def census(
     and references, tagged with the table that owns the key, and a mark for each row rule a
     row breaks. Counting per (owner, value) then shows repeated keys and references without
     an owner. The counts combine before the shuffle, so no value is hot, and grouping
-    treats NULL as a value.
+    treats NULL as a value. Keys are bigint, as in all source tables.
     """
     # An owner's slot 0 is its own key, its next slots are the references to it. A row rule
     # is an owner of its own, whose marks are counted in slot 0.
