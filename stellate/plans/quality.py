@@ -85,5 +85,6 @@ def gate(checks: DataFrame) -> list[Row]:
     rows = checks.collect()
     failed = [r for r in rows if not r.passed and r.severity == "error"]
     if failed:
-        raise QualityError("; ".join(f"{r.table_name}.{r.column_name} {r.rule}: {r.offending} offending" for r in failed))
+        lines = (f"{r.table_name}.{r.column_name} {r.rule}: {r.offending} offending" for r in failed)
+        raise QualityError("; ".join(lines))
     return rows

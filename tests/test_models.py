@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from stellate.plans import dimensions, facts, marts, reports, staging
-from tests.support import CLUBS, MATCHES, PAYMENTS, PLAYERS, REGISTRATIONS, TOURNAMENTS, day, frame, rows, ts
+from tests.support import CLUBS, MATCHES, PAYMENTS, PLAYERS, REGISTRATIONS, TOURNAMENTS, frame, rows, ts
 
 
 def registration_fact(spark, registrations, tournaments=TOURNAMENTS, clubs=CLUBS):

@@ -1,7 +1,7 @@
 import pytest
 
 from stellate.plans import quality, staging
-from tests.support import MATCHES, PAYMENTS, PLAYERS, REGISTRATIONS, TOURNAMENTS, CLUBS, frame, sources
+from tests.support import CLEAN, CLUBS, MATCHES, PAYMENTS, PLAYERS, REGISTRATIONS, TOURNAMENTS, frame, sources
 
 
 def failing(checks):
@@ -85,7 +85,11 @@ OFFENCES = [
 ]
 
 
-@pytest.mark.parametrize("table,changed,rule,count", OFFENCES, ids=lambda v: ".".join(v) if isinstance(v, tuple) else "")
+def _name(value):
+    return ".".join(value) if isinstance(value, tuple) else ""
+
+
+@pytest.mark.parametrize("table,changed,rule,count", OFFENCES, ids=_name)
 def test_one_offence_fails_one_rule(spark, table, changed, rule, count):
     assert failing(quality.run_checks(sources(spark, **{table: changed}))) == {rule: count}
 
@@ -107,7 +111,8 @@ def test_a_null_key_is_a_value(spark):
     lost = {**CLUBS[0], "club_id": None}
     stray = {**TOURNAMENTS[0], "tournament_id": 9, "club_id": None}
     assert failing(quality.run_checks(sources(spark, clubs=[*CLUBS, lost], tournaments=[*TOURNAMENTS, stray]))) == {}
-    assert failing(quality.run_checks(sources(spark, clubs=[*CLUBS, lost, lost]))) == {("clubs", "club_id", "unique"): 1}
+    twice = sources(spark, clubs=[*CLUBS, lost, lost])
+    assert failing(quality.run_checks(twice)) == {("clubs", "club_id", "unique"): 1}
     assert failing(quality.run_checks(sources(spark, tournaments=[*TOURNAMENTS, stray]))) == {
         ("tournaments", "club_id", "references clubs"): 1
     }
@@ -129,6 +134,6 @@ def test_staged_registrations_may_not_repeat(spark):
 
 
 def test_empty_tables_are_reported(spark):
-    empty = sources(spark, **{t: [] for t in ("clubs", "players", "tournaments", "registrations", "payments", "matches")})
+    empty = sources(spark, **{table: [] for table in CLEAN})
     checks = quality.run_checks(empty).collect()
     assert len(checks) == 16 and all(r.passed and r.offending == 0 for r in checks)
