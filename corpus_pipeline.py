@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import lines, quality
+from stellate.llm import leaks, lines, mix, near, quality
 from stellate.llm.shared import stored
 
 
@@ -18,9 +18,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lines.drop_lines(docs, keep_first=True)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, at a similarity of 0.8 or more."""
+    return near.drop_copies(docs, 80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return leaks.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix, with their words and how often each is taken."""
+    return mix.mixed_documents(docs).where("repeats > 0")
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
 ]
 
 

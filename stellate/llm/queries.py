@@ -6,17 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import lattice, lines, quality, secrets, tokens, urls
+from stellate.llm import lattice, leaks, lines, mix, near, quality, repeats, secrets, tokens, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_mix": mix.op1_mix,
         "op2_lm_scoring": lattice.op2_lm_scoring,
         "op3_line_dedup": lines.op3_line_dedup,
         "op4_url_filters": urls.op4_url_filters,
         "op5_secret_scans": secrets.op5_secrets,
+        "op6_near_dedup": near.op6_near_dedup,
         "op7_token_counts": tokens.op7_token_counts,
         "op8_quality_rules": quality.op8_quality,
+        "op9_decontamination": leaks.op9_decontamination,
+        "op10_repeats": repeats.op10_repeats,
     }
 
 

@@ -126,3 +126,36 @@ def word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE_VALUES[data] * _powers(_BASE, len(data)))))
     hashes = (total[to] - total[at]) * _powers(_BASE_INVERSE, len(data) + 1)[at]
     return mix64(hashes + (to - at).astype(np.uint64)), np.searchsorted(at, bounds)
+
+
+def long_word_hashes(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """word_hashes(), a long text in pieces, so that only 8 bytes a word stay of it."""
+    if sum(map(len, raw)) <= 2 * CHUNK_BYTES:
+        return word_hashes(raw)
+    parts = []
+    bounds = [0]
+    for text in raw:
+        n = 0
+        for words in word_lists(text):
+            parts.append(word_hashes([b" ".join(words)])[0])
+            n += len(parts[-1])
+        bounds.append(bounds[-1] + n)
+    return np.concatenate(parts or [np.zeros(0, np.uint64)]), np.array(bounds)
+
+
+def shingle_sets(raw: list[bytes], width: int) -> list[np.ndarray]:
+    """Each text's sorted different shingle hashes: `width` words, or all words of a shorter text."""
+    hashes, bounds = long_word_hashes(raw)
+    salts = mix64(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
+    whole = np.zeros(max(0, len(hashes) - width + 1), np.uint64)
+    for j in range(width):
+        whole += hashes[j : j + len(whole)] * salts[j]
+    whole = mix64(whole)
+    out = []
+    for a, b in zip(bounds, bounds[1:]):
+        if b - a >= width:
+            out.append(np.unique(whole[a : b - width + 1]))
+        else:  # the number of words tells it from a full shingle
+            own = (hashes[a:b] * salts[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
+            out.append(mix64(np.array([own] if b > a else [], np.uint64)))
+    return out
