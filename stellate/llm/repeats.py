@@ -5,9 +5,10 @@ Most of a corpus repeats nothing, and most repeats are copies of whole stretches
 1. Every 200-byte window is owned by its least 48-byte substring (by hash, then from the left). Equal
    windows are owned by equal substrings, so a run of windows whose owner is unique repeats nothing.
 2. Runs with equal bytes repeat as a whole.
-3. What is left are runs with equal owners and different bytes: the edges of copies. They are cut into
-   strings whose windows share a core; strings with equal cores meet in one place, where shards
-   of them are sorted, and their Burrows-Wheeler transforms merged by interleave refinement up to depth 200.
+3. What is left are runs with equal owners and different bytes: the edges of copies. They are cut
+   into strings whose windows share a core. Equal strings repeat as a whole; different ones with
+   equal cores meet in one place, where shards of them are sorted and their Burrows-Wheeler
+   transforms merged by interleave refinement up to depth 200.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from stellate.llm.shared import _BASE, _BASE_INVERSE, _BYTE_VALUES, _powers, mix
 LENGTH = 200
 OWNER = 48
 #: Windows of a string of step 3 begin within so many bytes.
-OFFSETS = 16
+OFFSETS = 40
 PIECE = 4 << 20
 PLACE_BITS = 23
 SHARD_BYTES, PLACE_BYTES = 256 << 10, 2 << 20
@@ -167,11 +168,12 @@ def _spans(places: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _strings(needed: DataFrame) -> DataFrame:
-    """(core, string, id, row, start): pieces of runs whose windows all hold the core."""
+    """(core, s, id, row, start, windows): pieces of runs whose windows all hold the core; s is a
+    128-bit hash of a piece's bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            cores, strings, rows, starts = [], [], [], []
+            cores, strings, rows, starts, windows = [], [], [], [], []
             for k, (text, todo) in enumerate(zip(texts(batch), batch.column("todo").to_pylist())):
                 for r in todo:
                     low, high = r["owner"] - r["start"] - r["windows"] + 1, r["owner"] - r["start"]
@@ -179,15 +181,42 @@ def _strings(needed: DataFrame) -> DataFrame:
                         least, most = max(low, part * OFFSETS), min(high, part * OFFSETS + OFFSETS - 1)
                         core = text[r["owner"] - part * OFFSETS : r["owner"] - part * OFFSETS - OFFSETS + 1 + LENGTH]
                         cores.append(hashlib.blake2b(core, digest_size=16, key=b"%d" % part).digest())
-                        strings.append(text[r["owner"] - most : r["owner"] - least + LENGTH])
+                        strings.append(hashlib.blake2b(text[r["owner"] - most : r["owner"] - least + LENGTH], digest_size=16).digest())
                         rows.append(k)
                         starts.append(r["owner"] - most)
+                        windows.append(most - least + 1)
             at = pa.array(rows, pa.int64())
             columns = [pa.array(cores, pa.binary()), pa.array(strings, pa.binary()), batch.column("id").take(at), batch.column("row").take(at)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(starts, pa.int64())], names=["core", "string", "id", "row", "start"])
+            columns += [pa.array(starts, pa.int64()), pa.array(windows, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["core", "s", "id", "row", "start", "windows"])
 
     id_type = needed.schema["id"].dataType.simpleString()
-    return needed.mapInArrow(run, f"core binary, string binary, id {id_type}, row bigint, start bigint")
+    return needed.mapInArrow(run, f"core binary, s binary, id {id_type}, row bigint, start bigint, windows bigint")
+
+
+def _bytes_of(needed: DataFrame) -> DataFrame:
+    """(core, n, string, id, row, start) of the pieces listed in `todo`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            listed = [(k, text, r) for k, (text, todo) in enumerate(zip(texts(batch), batch.column("todo").to_pylist())) for r in todo]
+            at = pa.array([k for k, _, _ in listed], pa.int64())
+            columns = [pa.array([r["core"] for *_, r in listed], pa.binary()), pa.array([r["n"] for *_, r in listed], pa.int64())]
+            columns += [pa.array([t[r["start"] : r["start"] + r["windows"] + LENGTH - 1] for _, t, r in listed], pa.binary())]
+            columns += [batch.column("id").take(at), batch.column("row").take(at), pa.array([r["start"] for *_, r in listed], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["core", "n", "string", "id", "row", "start"])
+
+    id_type = needed.schema["id"].dataType.simpleString()
+    return needed.mapInArrow(run, f"core binary, n bigint, string binary, id {id_type}, row bigint, start bigint")
+
+
+def _with_texts(given: DataFrame, pieces: DataFrame, *columns: str) -> DataFrame:
+    """Each text with its list `todo` of pieces; the lists are sent to all tasks if they are few."""
+    todo = stored(pieces.groupBy("id", "row").agg(F.collect_list(F.struct(*columns)).alias("todo")), "todo")
+    todo = todo.withColumnsRenamed({"id": "__id", "row": "__row"})
+    n = todo.agg(F.coalesce(F.sum(F.size("todo")), F.lit(0))).first()[0]
+    on = F.col("id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row"))
+    return given.join(F.broadcast(todo) if n <= BROADCAST_ROWS else todo, on).select("id", "row", "text", "todo")
 
 
 def _merged(strings: DataFrame) -> DataFrame:
@@ -256,7 +285,7 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     so all of their bytes repeat. Texts under LENGTH bytes have no window.
     """
     given = docs.select(F.col(id_column).alias("id"), row_key(F.col(text)).alias("row"), F.col(text).alias("text"))
-    every = stored(runs(given), "runs")
+    every = runs(given)  # computed twice: cheaper than to keep it
     owners = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
     shared = stored(every.join(owners, "h", "left_semi"), "shared")
     first = F.min(F.struct("id", "row", "start", "windows", "owner")).alias("first")
@@ -265,16 +294,14 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     whole = whole.select("id", "row", "start", F.col("windows").cast("bigint").alias("windows"))
     several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h")
     edges = kinds.join(several, "h", "left_semi").select("first.*")
-    todo = stored(edges.groupBy("id", "row").agg(F.collect_list(F.struct("start", "windows", "owner")).alias("todo")), "edges")
-    todo = todo.withColumnsRenamed({"id": "__id", "row": "__row"})
-    few = todo.count() <= BROADCAST_ROWS and todo.agg(F.coalesce(F.sum(F.size("todo")), F.lit(0))).first()[0] <= 4 * BROADCAST_ROWS
-    on = F.col("id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row"))
-    # a repeated row needs its text once
-    needed = given.join(F.broadcast(todo) if few else todo, on).select("id", "row", "text", "todo")
-    strings = stored(_strings(needed).dropDuplicates(["core", "id", "row", "start"]), "strings")
-    cores = strings.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
-    meeting = stored(strings.join(cores, "core"), "meeting")
-    parts = whole.union(_merged(meeting.where(F.col("n") <= SAME_CORE))).union(_counted(meeting.where(F.col("n") > SAME_CORE)))
+    strings = stored(_strings(_with_texts(given, edges, "start", "windows", "owner")), "strings")
+    alike = strings.groupBy("core", "s").agg(F.count("*").alias("n"), F.min(F.struct("id", "row", "start", "windows")).alias("first"))
+    alike = stored(alike, "alike")
+    equal = strings.join(alike.where("n > 1").select("core", "s"), ["core", "s"], "left_semi").select("id", "row", "start", "windows")
+    cores = alike.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
+    differing = alike.select("core", "first.*").join(cores, "core")
+    meeting = stored(_bytes_of(_with_texts(given, differing, "core", "n", "start", "windows")), "meeting")
+    parts = whole.union(equal).union(_merged(meeting.where(F.col("n") <= SAME_CORE))).union(_counted(meeting.where(F.col("n") > SAME_CORE)))
     span = F.struct("start", (F.col("start") + F.col("windows") + (LENGTH - 1)).alias("end"))
     return parts.groupBy("id", "row").agg(F.collect_set(span).alias("spans"))
 
