@@ -15,13 +15,16 @@ from stellate.llm.shared import mix64, partitions, shingle_sets, stored, text_sl
 
 WIDTH = 5
 BANDS, ROWS = 24, 5
-HASHES = BANDS * ROWS
+#: Values of a signature: the bands take the first ones, the comparison all.
+HASHES = 480
 #: Signature values are compared in batches; a pair goes once it is less probable than MISS
 #: that its similarity reaches the threshold.
-BATCH = 20
-MISS = 1e-4
+BATCH = 40
+MISS = 1e-3
 #: Members of a bucket compared in one place; larger buckets are split, see below.
-BUCKET = 512
+BUCKET = 1024
+#: Neighbours of each member that the first round verifies besides a spanning forest.
+NEAREST = 3
 #: Ids sent to all tasks at most; beyond, a shuffle join takes the place of the broadcast.
 BROADCAST_IDS = 500_000
 _FACTORS = mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -29,19 +32,19 @@ _OFFSETS = mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64))
 
 
 def signature(sets: list[np.ndarray]) -> np.ndarray:
-    """The low 16 bits of each set's minima under HASHES random orders; sets are not empty."""
+    """One byte of each set's minima under HASHES random orders; sets are not empty."""
     flat = np.concatenate(sets)
     first = np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((len(sets), HASHES), np.uint16)
+    out = np.empty((len(sets), HASHES), np.uint8)
     for k in range(HASHES):
-        least = np.minimum.reduceat((flat * _FACTORS[k] + _OFFSETS[k]) >> np.uint64(16), first)
-        out[:, k] = least & np.uint64(0xFFFF)
+        least = np.minimum.reduceat((flat * _FACTORS[k] + _OFFSETS[k]) >> np.uint64(24), first)
+        out[:, k] = least & np.uint64(0xFF)
     return out
 
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
     """A 64-bit key of each band; the band's number is part of it."""
-    rows = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
+    rows = signatures[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
     key = np.tile(mix64(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(signatures), 1))
     for r in range(ROWS):
         key = mix64(key ^ (rows[:, :, r] + np.uint64(r + 1) * np.uint64(0x1000003)))
@@ -53,12 +56,13 @@ def least_matches(percent: int) -> tuple[int, ...]:
     """By number of batches compared: the fewest matches at which a pair stays.
 
     Posterior of the similarity s under a uniform prior after m matches of n: proportional to
-    s^m (1 - s)^(n - m); integrated on a grid.
+    p^m (1 - p)^(n - m), where p = s + (1 - s) / 256 as bytes may match by chance; on a grid.
     """
     s = (np.arange(4000) + 0.5) / 4000
+    p = s + (1 - s) / 256
     out = []
     for n in range(BATCH, HASHES + 1, BATCH):
-        logs = np.log(s)[None, :] * np.arange(n + 1)[:, None] + np.log1p(-s)[None, :] * (n - np.arange(n + 1))[:, None]
+        logs = np.log(p)[None, :] * np.arange(n + 1)[:, None] + np.log1p(-p)[None, :] * (n - np.arange(n + 1))[:, None]
         weight = np.exp(logs - logs.max(axis=1, keepdims=True))
         above = weight[:, s >= percent / 100].sum(axis=1) / weight.sum(axis=1)
         out.append(int(np.argmax(above >= MISS)))
@@ -82,8 +86,8 @@ def survivors(signatures: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndar
 
 
 def spanning(i: np.ndarray, j: np.ndarray, matches: np.ndarray, n: int) -> list[int]:
-    """Indices of a spanning forest of the pairs, the most similar ones first."""
-    parent = list(range(n))
+    """Indices of a spanning forest of the pairs and of each row's NEAREST, the most similar first."""
+    parent, degree = list(range(n)), [0] * n
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -93,9 +97,12 @@ def spanning(i: np.ndarray, j: np.ndarray, matches: np.ndarray, n: int) -> list[
 
     chosen = []
     for k in np.lexsort((j, i, -matches)).tolist():
-        a, b = root(int(i[k])), root(int(j[k]))
-        if a != b:
+        x, y = int(i[k]), int(j[k])
+        a, b = root(x), root(y)
+        if a != b or min(degree[x], degree[y]) < NEAREST:
             parent[b] = a
+            degree[x] += 1
+            degree[y] += 1
             chosen.append(k)
     return chosen
 
@@ -122,11 +129,12 @@ def signed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), HASHES)
 
 
 def _members(classes: DataFrame) -> DataFrame:
-    """(key, node, marks): a class in each place where it is compared with others.
+    """(key, node, marks, split): a class in each place where it is compared with others; split
+    has a bit for each of its bands that is not a place of its own.
 
     Bands with one class are dropped. A band's bucket over BUCKET is split by each further band:
     similar classes share two bands almost as surely as one. What is still over BUCKET is cut into blocks,
@@ -140,10 +148,11 @@ def _members(classes: DataFrame) -> DataFrame:
             at = np.repeat(np.arange(batch.num_rows), BANDS)
             for a in range(0, len(at), 200_000):
                 part = slice(a, a + 200_000)
-                columns = [batch.column("node").take(pa.array(at[part])), pa.array(keys.reshape(-1)[part])]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "key"])
+                band = pa.array((np.arange(len(at)) % BANDS).astype(np.int32)[part])
+                columns = [batch.column("node").take(pa.array(at[part])), band, pa.array(keys.reshape(-1)[part])]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "band", "key"])
 
-    bands = stored(classes.select("node", "marks").mapInArrow(run, f"node {node}, key bigint"), "bands")
+    bands = stored(classes.select("node", "marks").mapInArrow(run, f"node {node}, band int, key bigint"), "bands")
 
     def sized(rows: DataFrame) -> DataFrame:
         sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -160,7 +169,25 @@ def _members(classes: DataFrame) -> DataFrame:
     met = cut.select("node", F.xxhash64("key", F.least("own", "j"), F.greatest("own", "j")).alias("key"))
     places = by_band.where(F.col("size") <= BUCKET).select("node", "key")
     places = places.union(finer.where(F.col("size") <= BUCKET).select("node", "key")).union(met)
-    return stored(places.distinct().join(classes.select("node", "marks"), "node").select("key", "node", "marks"), "members")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("band"))
+    split = by_band.where(F.col("size") > BUCKET).groupBy("node").agg(F.bit_or(bit).alias("split"))
+    placed = places.distinct().join(classes.select("node", "marks"), "node").join(split, "node", "left")
+    return stored(placed.select("key", "node", "marks", F.coalesce("split", F.lit(0)).cast("bigint").alias("split")), "members")
+
+
+def _first_meeting(group: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether this place is the first that a pair shares; always true in places that are no band."""
+    keys = band_keys(_matrix(group.column("marks").combine_chunks()))
+    here = np.flatnonzero((keys == group.column("key")[0].as_py()).all(axis=0))
+    if not len(here):
+        return np.ones(len(i), bool)
+    split = np.asarray(group.column("split").combine_chunks())
+    places = (split[:, None] >> np.arange(BANDS)[None, :]) & 1 == 0
+    out = np.empty(len(i), bool)
+    for a in range(0, len(i), 100_000):
+        part = slice(a, a + 100_000)
+        out[part] = ((keys[i[part]] == keys[j[part]]) & places[i[part]]).argmax(axis=1) == here[0]
+    return out
 
 
 def _pairs(members: DataFrame, percent: int, tree: bool) -> DataFrame:
@@ -175,6 +202,7 @@ def _pairs(members: DataFrame, percent: int, tree: bool) -> DataFrame:
         else:
             _, part = np.unique(np.array(group.column("component").to_pylist(), object).astype(str), return_inverse=True)
             chosen = np.flatnonzero(part[i] != part[j])
+            chosen = chosen[_first_meeting(group, i[chosen], j[chosen])]
         nodes = group.column("node").combine_chunks()
         columns = [nodes.take(pa.array(i[chosen], pa.int64())), nodes.take(pa.array(j[chosen], pa.int64()))]
         return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
