@@ -17,11 +17,6 @@ def money(cents: Column) -> Column:
     return F.round(units(cents), 2)
 
 
-def ratio(part: Column, whole: Column, places: int = 3) -> Column:
-    """part / whole, NULL on a zero divisor, rounded half away from zero."""
-    return F.round(F.try_divide(part, whole), places)
-
-
 def round_up_half(value: Column, places: int = 2) -> Column:
     """Round with ties going up, on the scaled double."""
     scale = F.lit(float(10**places))

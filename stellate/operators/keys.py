@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, key: str, nullable: bool = False) -> DataFrame:
     """Child rows whose bigint reference is missing in the parent.
 
     NULL is an ordinary value unless ``nullable``: it is found only if the parent holds
-    a NULL key. The parent is reduced to distinct keys before the join, so replayed
-    parent rows cannot pile up on one task; a hot child key is split by skew handling.
-    Joining on (value or 0, is NULL) rather than on ``<=>`` lets the join reuse the
-    shuffle of the distinct keys.
+    a NULL key. The parent is reduced to distinct keys before the join, so replayed parent
+    rows cannot pile up on one task. The join shuffles these keys once more, on ``<=>``:
+    as no aggregate then lies between its shuffles and the join, adaptive execution splits
+    a hot child key.
     """
-
-    def parts(name: str) -> tuple[Column, Column]:
-        return F.coalesce(name, F.lit(0)), F.col(name).isNull()
-
-    value, unset = parts(key)
-    known = parent.select(value.alias("_value"), unset.alias("_unset")).distinct()
+    known = parent.select(F.col(key).alias("_known")).distinct()
     rows = child.where(F.col(column).isNotNull()) if nullable else child
-    value, unset = parts(column)
-    return rows.join(known, (value == F.col("_value")) & (unset == F.col("_unset")), "left_anti")
+    return rows.join(known, F.col(column).eqNullSafe(F.col("_known")), "left_anti")

@@ -22,8 +22,3 @@ def unpivot_slots(df: DataFrame, slots: Mapping[str, int], value: str, group: st
     )
     kept = [c for c in df.columns if c not in slots]
     return df.select(*kept, F.inline(pairs))
-
-
-def measures_to_rows(df: DataFrame, keys: list[str], measures: list[str], name: str, value: str) -> DataFrame:
-    """One row per input row and measure column, with the column's name kept."""
-    return df.unpivot(keys, measures, name, value)

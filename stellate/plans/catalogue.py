@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -12,7 +12,7 @@ from stellate.operators.keys import orphans
 from stellate.plans import dimensions, facts, marts, pipeline, quality, reconcile, reports, staging
 from stellate.session import prepare, scratch_dir
 from stellate.sinks.tables import Warehouse, clustered
-from stellate.sources.binding import CALENDAR, CLIPPED_CALENDAR, Bound
+from stellate.sources.binding import CLIPPED_CALENDAR, Bound
 from stellate.sources.landing import read_landing, unknown_fields, write_lines
 from stellate.sources.schemas import SCHEMAS
 
@@ -23,7 +23,6 @@ class Models:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self.source = Bound(spark, folder)
-        self.run = re.sub(r"\W+", "_", folder.strip("/"))
 
     # Staging
 
@@ -57,10 +56,6 @@ class Models:
     def dim_date(self) -> DataFrame:
         return dimensions.dim_date_of(self.source["registrations"], "registered_at")
 
-    @cached_property
-    def fixed_calendar(self) -> DataFrame:
-        return dimensions.dim_date(self.spark, *CALENDAR)
-
     @cached_property
     def dim_player(self) -> DataFrame:
         return dimensions.dim_player(self.stg_players)
@@ -85,7 +80,7 @@ class Models:
 
     @cached_property
     def monthly_revenue(self) -> DataFrame:
-        return marts.monthly_revenue(self.fct_registration, self.fixed_calendar, self.dim_tournament)
+        return marts.monthly_revenue(self.fct_registration, self.dim_date, self.dim_tournament)
 
     @cached_property
     def monthly_revenue_clipped(self) -> DataFrame:
@@ -204,14 +199,14 @@ class Models:
 
     def landing(self, table: str) -> DataFrame:
         """A source table written as JSON lines and read back under its declared schema."""
-        path = scratch_dir(self.spark, f"{self.run}/landing/{table}.ndjson")
+        path = scratch_dir(self.spark, f"landing/{table}.ndjson")
         write_lines(self.source[table], path)
         return read_landing(self.spark, path, SCHEMAS[table], reject_unknown=True)
 
     @property
     def landing_unknown_fields(self) -> DataFrame:
         """Payments exported with two fields the schema does not have, one of them often absent."""
-        path = scratch_dir(self.spark, f"{self.run}/landing/payments_extra.ndjson")
+        path = scratch_dir(self.spark, "landing/payments_extra.ndjson")
         extra = self.source["payments"].select(
             "*",
             F.col("payment_id").alias("export_row"),
@@ -222,7 +217,7 @@ class Models:
 
     def sink_roundtrip(self, fact: str) -> DataFrame:
         """A fact written partitioned and clustered, and read back."""
-        path = scratch_dir(self.spark, f"{self.run}/sink/{fact}")
+        path = scratch_dir(self.spark, f"sink/{fact}")
         partition_by, cluster_by, grain = facts.LAYOUT[fact]
         df = getattr(self, fact)
         laid_out = clustered(df, partition_by, cluster_by, grain)
@@ -230,17 +225,16 @@ class Models:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def deploy(self) -> Warehouse:
-        """The whole build, into layers of its own; the sources' known offences are only reported."""
-        root = scratch_dir(self.spark, f"{self.run}/warehouse")
-        if root not in _DEPLOYED:
-            warehouse = Warehouse(self.spark, prefix=f"stellate_{self.run}_", root=root)
-            pipeline.build(warehouse, self.source, calendar=CALENDAR, strict=False)
-            _DEPLOYED[root] = warehouse
-        return _DEPLOYED[root]
-
+        """The whole build, into layers of its own each time, so it holds the tables as they are now;
+        the sources' known offences are only reported."""
+        root = scratch_dir(self.spark, "warehouse")
+        warehouse = Warehouse(self.spark, prefix=f"stellate_{uuid.uuid4().hex}_", root=root)
+        day = F.to_date("registered_at")
+        first, last = self.source["registrations"].agg(F.min(day), F.max(day)).first()
+        calendar = (first, last) if first else CLIPPED_CALENDAR
+        pipeline.build(warehouse, self.source, calendar=calendar, strict=False)
+        return warehouse
 
-# Builds of this application by their folder; the deployed views share one.
-_DEPLOYED: dict[str, Warehouse] = {}
 
 # Names of Models attributes that are queries as they stand.
 PLAIN = (

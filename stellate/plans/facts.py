@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from stellate.functions.dates import day
 from stellate.functions.numbers import zero_if
-from stellate.operators.joins import broadcast_if_small
 from stellate.operators.unpivot import unpivot_slots
 
 # Player slot -> team.
@@ -20,8 +19,12 @@ LAYOUT = {
 
 
 def fct_registration(registrations: DataFrame, tournaments: DataFrame) -> DataFrame:
-    """One row per staged registration of a known tournament; a refund counts as no revenue."""
-    tournament = broadcast_if_small(tournaments.select("tournament_key", "club_key", "category", "surface"))
+    """One row per staged registration of a known tournament; a refund counts as no revenue.
+
+    No broadcast is asked for: Spark sends the dimension to all tasks while its bytes are under
+    the session's threshold; above, a shuffle join splits hot tournaments.
+    """
+    tournament = tournaments.select("tournament_key", "club_key", "category", "surface")
     refunded = F.col("payment_status") == "refunded"
     return registrations.join(tournament, F.col("tournament_id") == F.col("tournament_key")).select(
         "registration_id",

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stellate.functions.dates import month_text
 from stellate.functions.numbers import money
-from stellate.operators.unpivot import measures_to_rows
 from stellate.plans.marts import MIN_MATCHES
 
 PLAYER_SLOTS = ["team1_player1", "team1_player2", "team2_player1", "team2_player2"]
@@ -53,7 +52,7 @@ def mean_fill(tournaments: DataFrame, registrations: DataFrame) -> DataFrame:
 def player_records(matches: DataFrame) -> DataFrame:
     """Matches played and won per player; a match without a winner counts as not won."""
     played = matches.where(F.col("status") == "played").select("winner_team", *PLAYER_SLOTS)
-    slots = measures_to_rows(played, ["winner_team"], PLAYER_SLOTS, "slot", "player_id")
+    slots = played.unpivot(["winner_team"], PLAYER_SLOTS, "slot", "player_id")
     team = F.when(F.col("slot").startswith("team1"), 1).otherwise(2)
     return (
         slots.where(F.col("player_id").isNotNull())

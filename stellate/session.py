@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -17,18 +18,12 @@ REQUIRED = {
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings every model needs; sizes and memory stay with the cluster.
-
-    The daily partitions of a fact are listed by a few tasks per slot, not by one task each.
-    """
+    """Set REQUIRED on the caller's session, which every model needs; sizes and memory stay with the cluster."""
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
-    few_per_slot = 4 * spark.sparkContext.defaultParallelism
-    spark.conf.set(LISTING_TASKS, str(min(few_per_slot, int(spark.conf.get(LISTING_TASKS)))))
     return spark
 
 
@@ -49,12 +44,15 @@ def local_session(cores: int = 8, app: str = "stellate", **conf: str) -> SparkSe
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A folder of this application under the shared folder the cluster names.
+    """A fresh folder of this application under the shared folder the cluster names.
 
-    Only where the cluster names none, as in tests, is a folder of our own used.
+    No two calls share a folder, so a later write never breaks an earlier result. Only on a
+    local master, where all tasks share one machine, is a folder of our own used in its place.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"name a folder that all executors share in {CHECKPOINT_DIR}")
         root = tempfile.mkdtemp(prefix="stellate-")
         spark.conf.set(CHECKPOINT_DIR, root)
-    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{name}"
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stellate.sources.schemas import SCHEMAS
 
-# Parameters that suit the bound data: all of its dates, and a range that cuts some off.
-CALENDAR = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+# A range that cuts some dates of the bound data off.
 CLIPPED_CALENDAR = (dt.date(1996, 1, 1), dt.date(2000, 12, 31))
 
 # Source table -> its rows; given tables stand in braces.

@@ -8,12 +8,12 @@ from stellate.sources.schemas import SCHEMAS
 
 
 def read_landing(
-    spark: SparkSession, path: str, schema: T.StructType, reject_unknown: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, reject_unknown: bool = True
 ) -> DataFrame:
     """One table of JSON lines under its declared schema; a row that does not fit fails the read.
 
-    A missing field reads as NULL. Fields outside the schema are ignored, unless
-    ``reject_unknown``: then a row with such a field fails the read too, in the same pass.
+    A missing field reads as NULL. A row with a field outside the schema fails the read too, in
+    the same pass, unless ``reject_unknown`` is off: then such fields are ignored.
     """
     if not reject_unknown:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -40,7 +40,7 @@ def write_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
 
 
-def read_sources(spark: SparkSession, root: str, reject_unknown: bool = False) -> dict[str, DataFrame]:
+def read_sources(spark: SparkSession, root: str, reject_unknown: bool = True) -> dict[str, DataFrame]:
     """All six tables of an export folder, one ``<table>.ndjson`` file or folder each."""
     return {
         table: read_landing(spark, f"{root}/{table}.ndjson", schema, reject_unknown)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stellate.functions.dates import days_inclusive, is_weekend, month_text, years_crossed
-from stellate.functions.numbers import band, money, ratio, round_up_half, units, zero_if
+from stellate.functions.numbers import band, money, round_up_half, units, zero_if
 from stellate.functions.text import clean, clean_lower, clean_upper, gender_label
 from stellate.plans.dimensions import AGE_BANDS, LAST_AGE_BAND
 
@@ -62,18 +62,6 @@ def test_weekend_and_month(spark):
     assert values(spark, "d date", days, month_text("d")) == ["2024-03"] * 3
 
 
-def test_ratio_rounds_ties_away_from_zero(spark):
-    pairs = [(201, 400), (203, 400), (1, 3), (0, 5), (5, 5), (1, 0), (None, 4)]
-    got = values(spark, "n bigint, d bigint", pairs, ratio(F.col("n"), F.col("d")))
-    assert got == [0.503, 0.508, 0.333, 0.0, 1.0, None, None]
-
-
-def test_ratio_equals_whole_number_rounding(spark):
-    pairs = [(n, d) for d in range(1, 120) for n in range(d + 1)]
-    got = values(spark, "n bigint, d bigint", pairs, ratio(F.col("n"), F.col("d")))
-    assert got == [(2000 * n + d) // (2 * d) / 1000 for n, d in pairs]
-
-
 @pytest.mark.parametrize("n,d,expected", [(1, 8, 0.13), (5, 8, 0.63), (2, 3, 0.67), (1, 200, 0.01)])
 def test_round_up_half(spark, n, d, expected):
     assert values(spark, "n bigint, d bigint", [(n, d)], round_up_half(F.col("n") / F.col("d"))) == [expected]

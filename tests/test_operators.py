@@ -7,7 +7,6 @@ from pyspark.sql import Window, functions as F
 from stellate.operators.calendar import date_range, years_spanned
 from stellate.operators.census import Reference, RowRule, census
 from stellate.operators.dedupe import latest_per_key
-from stellate.operators.joins import broadcast_if_small
 from stellate.operators.keys import orphans
 from stellate.operators.unpivot import unpivot_slots
 from tests.support import plan, rows
@@ -127,17 +126,6 @@ def test_orphans(spark):
     assert found(with_null) == [2]
 
 
-def test_broadcast_only_below_the_bound(spark):
-    df = spark.range(100).withColumn("v", F.lit(1))
-    fact = spark.range(1000)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan(fact.join(broadcast_if_small(df, 100), "id"))
-        assert "SortMergeJoin" in plan(fact.join(broadcast_if_small(df, 99), "id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def _brute(parents, children, others):
     """Census of three tables by sets and loops."""
     known = set(parents)

@@ -71,7 +71,6 @@ def test_query_equals_sql_on_skewed_data_without_broadcasts(spark, skewed, name,
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
     }
-    monkeypatch.setattr(facts, "broadcast_if_small", lambda df: df)
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
