@@ -270,7 +270,9 @@ def grouped(docs: DataFrame, percent: int, id_column: str = "doc_id", text: str
     joined = stored(components(first), "components")
     known = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     second = _verified(_pairs(known, percent, tree=False), docs, percent, id_column, text)
-    whole = stored(components(first.union(second)), "components")
+    # the first round's components stand for its links, so that only the second's paths are walked
+    settled = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    whole = stored(components(settled.union(second)), "components")
     named = classes.select("f1", "f2", "node").join(whole, "node", "left")
     named = named.select("f1", "f2", F.coalesce("component", "node").alias("component"))
     rows = signs.select("id", "n", "f1", "f2").join(named.withColumn("in", F.lit(1)), ["f1", "f2"], "left")
