@@ -16,7 +16,7 @@ from stellate.llm.shared import mix64, partitions, shingle_sets, stored, text_sl
 WIDTH = 5
 BANDS, ROWS = 24, 5
 #: Values of a signature: the bands take the first ones, the comparison all.
-HASHES = 480
+HASHES = 960
 #: Signature values are compared in batches; a pair goes once it is less probable than MISS
 #: that its similarity reaches the threshold.
 BATCH = 40
