@@ -175,7 +175,7 @@ def word_counts(docs: DataFrame, train: str, text: str) -> DataFrame:
                     if counted:
                         held.update(words)
                     else:
-                        held.update(dict.fromkeys(set(words).difference(held), 0))
+                        held.update(dict.fromkeys((w for w in set(words) if w not in held), 0))
             if len(held) > HELD_WORDS:
                 yield out()
         yield out()
