@@ -29,7 +29,7 @@ OWNER = 48
 OFFSETS = 40
 PIECE = 4 << 20
 PLACE_BITS = 23
-SHARD_BYTES, PLACE_BYTES = 256 << 10, 2 << 20
+SHARD_BYTES, PLACE_BYTES = 256 << 10, 512 << 10
 #: Strings with one core compared in one place; windows of more are counted by 128-bit hash.
 SAME_CORE = 4096
 BROADCAST_ROWS = 300_000
