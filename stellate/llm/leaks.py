@@ -17,9 +17,11 @@ from stellate.llm.shared import CHUNK_BYTES, mix64, text_slices
 PERCENT = 80
 #: Items of fewer words are no evidence: single words and phrases occur anywhere.
 MIN_WORDS = 5
-#: Sampled symbols of a key, and keys. An item-sized window at the widest allowed distance
-#: shares a key with its item with a probability over 0.9; windows beside it add their chances.
+#: Sampled symbols of a key, and keys. A part-sized window at the widest allowed distance
+#: shares a key with its part with a probability over 0.9; windows beside it add their chances.
 SAMPLED, KEYS = 3, 20
+#: Longer items are sought by parts of at most so many words, as the walks of long windows drift apart.
+PART_WORDS = 30
 #: Item words that a pass holds; more items take more passes.
 PASS_WORDS = 1_000_000
 _WORD = re.compile(r"\w+")
@@ -36,6 +38,16 @@ def allowed(words: int, percent: int = PERCENT) -> int:
     return words * (100 - percent) // 100
 
 
+def part_bounds(words: int) -> list[int]:
+    """Where an item's nearly equal parts begin, and its end.
+
+    Edits beyond every part's own allowance would be more than the item's: some part of each
+    match is a match of that part.
+    """
+    parts = max(1, -(-words // PART_WORDS))
+    return [words * k // parts for k in range(parts + 1)]
+
+
 def sampled_steps(size: int) -> np.ndarray:
     """Step by key: whether the key keeps what the walk writes there.
 
@@ -83,7 +95,7 @@ def embed(symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ends: np.n
 
 @dataclass
 class Index:
-    """Items by their number of words, each with its keys."""
+    """The items' parts by their number of words, each with its keys."""
 
     ids: list
     words: list[np.ndarray]
@@ -92,15 +104,19 @@ class Index:
 
     def __post_init__(self) -> None:
         n = len(self.vocabulary) + 1
-        sizes = np.array([len(w) for w in self.words], np.int64)
-        flat = np.concatenate([*self.words, np.zeros(0, np.int64)])
+        bounds = [part_bounds(len(w)) for w in self.words]
+        parts = [w[a:b] for w, cuts in zip(self.words, bounds) for a, b in zip(cuts, cuts[1:])]
+        self.part_item = np.repeat(np.arange(len(bounds)), [len(cuts) - 1 for cuts in bounds])
+        self.part_at = np.array([a for cuts in bounds for a in cuts[:-1]], np.int64)
+        sizes = np.array([len(w) for w in parts], np.int64)
+        flat = np.concatenate([*parts, np.zeros(0, np.int64)])
         starts = np.cumsum(sizes) - sizes
         keys = embed(flat, starts, sizes, starts + sizes, n)
         self.order = np.argsort(keys, axis=0, kind="stable")
         self.keys = np.take_along_axis(keys, self.order, axis=0)
-        self.pairs = {}  # neighbouring words of the items of each size
+        self.pairs = {}  # neighbouring words of the parts of each size
         for size in np.unique(sizes).tolist():
-            own = [self.words[k] for k in np.flatnonzero(sizes == size)]
+            own = [parts[k] for k in np.flatnonzero(sizes == size)]
             self.pairs[size] = np.unique(np.concatenate([w[:-1] * n + w[1:] for w in own]))
         self.all_pairs = np.unique(np.concatenate([*self.pairs.values(), np.zeros(0, np.int64)]))
 
@@ -128,8 +144,8 @@ class Index:
         windows = [np.zeros((2, 0), np.int64)]
         for size, pairs in self.pairs.items():
             edits = allowed(size, self.percent)
-            # An edit breaks at most two of an item's size - 1 pairs of neighbours. So a match has
-            # this many pairs of items of its size within size + edits words, and the first of
+            # An edit breaks at most two of a part's size - 1 pairs of neighbours. So a match has
+            # this many pairs of parts of its size within size + edits words, and the first of
             # them begins at most 2 * edits words after the match.
             least = max(size - 1 - 2 * edits, 1)
             own = at[np.isin(pair[at], pairs)]
@@ -146,33 +162,60 @@ class Index:
             high = np.searchsorted(self.keys[:, key], keys[:, key], "right")
             for w in np.flatnonzero(high > low):
                 for k in self.order[low[w] : high[w], key]:
-                    near.setdefault((int(owner[starts[w]]), int(k)), set()).add(int(starts[w]))
+                    text = int(owner[starts[w]])  # a place is where the item would begin, so it may lie before the text
+                    near.setdefault((text, int(self.part_item[k])), set()).add(int(starts[w] - bounds[text] - self.part_at[k]))
         out = []
         for (text, item), places in sorted(near.items()):
-            out += [(text, item, *m) for m in self._verified(flat[bounds[text] : bounds[text + 1]], item, np.array(sorted(places)) - bounds[text])]
+            out += [(text, item, *m) for m in self._verified(flat[bounds[text] : bounds[text + 1]], item, np.array(sorted(places)))]
         return out
 
     def _verified(self, text: np.ndarray, item: int, places: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """The best match in each run of close places, if it is within the allowed edits."""
+        """The best matches in each run of close places, about an item long, that are within the allowed edits."""
         words = self.words[item]
         edits = allowed(len(words), self.percent)
-        cuts = [0, *(np.flatnonzero(np.diff(places) > max(edits, 1)) + 1), len(places)]
+        # the edits before a part move it, besides those within it
+        margin = edits + (2 * allowed(PART_WORDS, self.percent) if len(words) > PART_WORDS else 0)
+        runs: list[list[int]] = []
+        for p in places.tolist():
+            if runs and p - runs[-1][-1] <= max(edits, 1) and p - runs[-1][0] <= len(words):
+                runs[-1].append(p)
+            else:
+                runs.append([p])
         last = -1
-        for a, b in zip(cuts, cuts[1:]):
-            exact = [p for p in places[a:b] if np.array_equal(text[p : p + len(words)], words)]
+        for run in runs:
+            exact = [p for p in run if p >= 0 and np.array_equal(text[p : p + len(words)], words)]
             if exact:
-                found = [(int(p), int(p) + len(words), 0) for p in exact]
+                found = [(p, p + len(words), 0) for p in exact]
             else:
-                low = max(0, int(places[a]) - edits)
-                region = text[low : int(places[b - 1]) + len(words) + edits]
-                first, end, distance = best_match(words.tolist(), region.tolist())
-                found = [(low + first, low + end, distance)] if distance <= edits else []
+                found = self._within(text, words, max(0, run[0] - margin), min(len(text), run[-1] + len(words) + margin))
             for match in found:
                 if match[0] >= last:  # runs may reach into each other
                     last = match[1]
                     yield match
 
 
+    def _within(self, text: np.ndarray, words: np.ndarray, low: int, high: int) -> list[tuple[int, int, int]]:
+        """The best match in text[low:high], and those beside it, in order."""
+        edits = allowed(len(words), self.percent)
+        if high - low < len(words) - edits or least_distance(words, text[low:high]) > edits:
+            return []
+        first, end, distance = best_match(words.tolist(), text[low:high].tolist())
+        if first == end:
+            return [(low + first, low + end, distance)]
+        return [*self._within(text, words, low, low + first), (low + first, low + end, distance), *self._within(text, words, low + end, high)]
+
+
+def least_distance(item: np.ndarray, region: np.ndarray) -> int:
+    """best_match()'s distance, sooner for long items."""
+    place = np.arange(len(region) + 1)
+    cost = np.zeros(len(region) + 1, np.int64)
+    for word in item:
+        cost[1:] = np.minimum(cost[:-1] + (region != word), cost[1:] + 1)
+        cost[0] += 1
+        cost = np.minimum.accumulate(cost - place) + place
+    return int(cost.min())
+
+
 def best_match(item: list[int], region: list[int]) -> tuple[int, int, int]:
     """(first, end, distance) of the part of the region with the least edit distance to the item."""
     cost, origin = [0] * (len(region) + 1), list(range(len(region) + 1))

@@ -226,6 +226,21 @@ def test_decontamination_recall_at_the_widest_distance():
     assert sum((k, k) in found for k in range(100)) >= 90
 
 
+@pytest.mark.parametrize("size, n", [(31, 60), (60, 40), (100, 40), (200, 30), (400, 12), (800, 8)])
+def test_decontamination_recall_of_long_items(size, n):
+    r = random.Random(size)
+    index = leaks.build_index([(k, " ".join(f"w{r.randrange(3000)}" for _ in range(size))) for k in range(n)])
+    texts = []
+    for words in index.words:
+        edited = list(words)
+        for _ in range(leaks.allowed(size)):
+            at = r.randrange(len(edited))
+            edited[at : at + 1] = r.choice([[0], [], [edited[at], 0]])
+        texts.append(np.array([0] * 30 + edited + [0] * 30 + list(words)))
+    found = Counter((t, i) for t, i, _, _, distance in index.find(texts) if distance <= leaks.allowed(size))
+    assert sum(found[k, k] == 2 for k in range(n)) >= 0.97 * n
+
+
 @pytest.mark.parametrize("same_core", [repeats.SAME_CORE, 0])
 def test_repeats(docs, same_core, monkeypatch):
     monkeypatch.setattr(repeats, "SAME_CORE", same_core)
