@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.shared import CHUNK_BYTES, mix64, text_slices
+from stellate.llm.shared import CHUNK_BYTES, mix64, row_key, text_slices
 
 #: A passage matches an item if it takes at most (100 - PERCENT) % of the item's words as edits.
 PERCENT = 80
@@ -289,9 +289,12 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, id_column
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT, id_column: str = "doc_id") -> DataFrame:
-    """The documents without any matching passage, with their own columns; null ids are compared like others."""
-    leaked = matches(docs, items, percent, id_column).select(F.col(id_column).alias("__leaked")).distinct()
-    return docs.join(leaked, F.col(id_column).eqNullSafe(F.col("__leaked")), "left_anti")
+    """The documents without any matching passage, with their own columns. Rows that share an id,
+    or have none, are judged each by its own text."""
+    judged = docs.select(F.struct(F.col(id_column).alias("id"), row_key(F.col("text")).alias("row")).alias("__judged"), "text")
+    leaked = matches(judged, items, percent, "__judged").select("__judged.*").distinct().withColumnsRenamed({"id": "__id", "row": "__row"})
+    same = F.col(id_column).eqNullSafe(F.col("__id")) & (row_key(F.col("text")) == F.col("__row"))
+    return docs.join(leaked, same, "left_anti")
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:

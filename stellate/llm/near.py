@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm.graph import components
-from stellate.llm.shared import mix64, partitions, shingle_sets, stored, text_slices, texts
+from stellate.llm.shared import mix64, partitions, row_key, shingle_sets, stored, text_slices, texts
 
 WIDTH = 5
 BANDS, ROWS = 24, 5
@@ -108,8 +108,8 @@ def spanning(i: np.ndarray, j: np.ndarray, matches: np.ndarray, n: int) -> list[
 
 
 def signed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """id, number of shingles, a 128-bit fingerprint of the set and the signature (null if empty)."""
-    given = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
+    """id, a hash of the text, number of shingles, a 128-bit fingerprint of the set and the signature (null if empty)."""
+    given = docs.select(F.col(id_column).alias("id"), row_key(F.col(text)).alias("row"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -121,11 +121,11 @@ def signed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
                     marks[k] = row.tobytes()
             f1 = np.array([mix64(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
             f2 = np.array([np.bitwise_xor.reduce(mix64(~s)) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
-            columns = [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1), pa.array(f2), pa.array(marks, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "f1", "f2", "marks"])
+            columns = [batch.column("id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64()), pa.array(f1), pa.array(f2), pa.array(marks, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "row", "n", "f1", "f2", "marks"])
 
     id_type = given.schema["id"].dataType.simpleString()
-    return given.mapInArrow(run, f"id {id_type}, n bigint, f1 bigint, f2 bigint, marks binary")
+    return given.mapInArrow(run, f"id {id_type}, row bigint, n bigint, f1 bigint, f2 bigint, marks binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -262,6 +262,11 @@ def grouped(docs: DataFrame, percent: int, id_column: str = "doc_id", text: str
     A first round verifies a spanning forest of the pruned candidates in each place, which joins most
     of a large group with few pairs; a second one verifies all that still lie between components.
     """
+    return _judged(docs, percent, id_column, text).drop("__row")
+
+
+def _judged(docs: DataFrame, percent: int, id_column: str, text: str) -> DataFrame:
+    """grouped(), with `__row`, a hash of the text."""
     signs = stored(signed(docs, id_column, text), "signs")
     equal = signs.where("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("node"), F.first("marks").alias("marks"))
     classes = stored(equal, "classes")
@@ -275,16 +280,18 @@ def grouped(docs: DataFrame, percent: int, id_column: str = "doc_id", text: str
     whole = stored(components(settled.union(second)), "components")
     named = classes.select("f1", "f2", "node").join(whole, "node", "left")
     named = named.select("f1", "f2", F.coalesce("component", "node").alias("component"))
-    rows = signs.select("id", "n", "f1", "f2").join(named.withColumn("in", F.lit(1)), ["f1", "f2"], "left")
+    rows = signs.select("id", "row", "n", "f1", "f2").join(named.withColumn("in", F.lit(1)), ["f1", "f2"], "left")
     component = F.when((F.col("n") > 0) & F.col("in").isNotNull(), F.col("component")).otherwise(F.col("id"))
-    result = rows.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    result = rows.select(F.col("id").alias(id_column), F.col("row").alias("__row"), F.col("n").alias("n_shingles"), component.alias("component_id"))
     return result.withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id")))
 
 
 def drop_copies(docs: DataFrame, percent: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, with its own columns; rows with a null id stay where no group has them."""
-    gone = grouped(docs, percent, id_column, text).where(~F.col("kept")).select(F.col(id_column).alias("__gone")).distinct()
-    return docs.join(stored(gone, "gone"), F.col(id_column).eqNullSafe(F.col("__gone")), "left_anti")
+    """One document of each group, with its own columns; rows with a null id stay where no group has
+    them. Rows that share an id, or have none, go each by its own text."""
+    gone = _judged(docs, percent, id_column, text).where(~F.col("kept")).select(F.col(id_column).alias("__gone"), "__row").distinct()
+    same = F.col(id_column).eqNullSafe(F.col("__gone")) & (row_key(F.col(text)) == F.col("__row"))
+    return docs.join(stored(gone, "gone"), same, "left_anti")
 
 
 def op6_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -178,6 +178,15 @@ def test_near_dedup(docs, bucket, monkeypatch):
     assert len(rows) == len(corpus()) - 1
 
 
+def test_rows_without_an_id_go_each_by_its_own_text(spark):
+    texts = [" ".join(f"{w}{k}" for k in range(20)) for w in "abcde"]
+    rows = [(1, texts[0]), (2, texts[1]), (None, texts[0]), (None, texts[2]), (None, texts[3]), (None, f"so {ITEM} it is"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(near.drop_copies(docs, 80), "doc_id", "text") == sorted(rows[:2] + rows[3:], key=repr)
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert got(leaks.drop_leaks(docs, items), "doc_id", "text") == sorted(rows[:5] + rows[6:], key=repr)
+
+
 def test_token_counts(docs):
     from tokenizers import Tokenizer
 
