@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,9 @@ WIDTH = 5
 BANDS, ROWS = 24, 5
 #: Values of a signature: the bands take the first ones, the comparison all.
 HASHES = 960
-#: Signature values are compared in batches; a pair goes once it is less probable than MISS
-#: that its similarity reaches the threshold.
+#: Signature values are compared in batches; a pair goes once it is too improbable that its
+#: similarity reaches the threshold. A pair just at the threshold goes at one of all the batches
+#: with a probability of MISS at most.
 BATCH = 40
 MISS = 1e-3
 #: Members of a bucket compared in one place; larger buckets are split, see below.
@@ -51,22 +53,40 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def missed(bounds: tuple[int, ...], similarity: float) -> float:
+    """The exact probability that a pair of this similarity goes at any of the batches."""
+    p = similarity + (1 - similarity) / 256
+    k = np.arange(BATCH + 1)
+    batch = np.array([comb(BATCH, m) for m in k.tolist()], float) * p**k * (1 - p) ** (BATCH - k)
+    stays, gone = np.ones(1), 0.0  # by number of matches so far
+    for least in bounds:
+        stays = np.convolve(stays, batch)
+        gone += stays[:least].sum()
+        stays[:least] = 0
+    return float(gone)
+
+
 @cache
 def least_matches(percent: int) -> tuple[int, ...]:
     """By number of batches compared: the fewest matches at which a pair stays.
 
     Posterior of the similarity s under a uniform prior after m matches of n: proportional to
     p^m (1 - p)^(n - m), where p = s + (1 - s) / 256 as bytes may match by chance; on a grid.
+    Its bound is the largest at which all batches together miss MISS of the pairs at the threshold.
     """
     s = (np.arange(4000) + 0.5) / 4000
     p = s + (1 - s) / 256
-    out = []
+    posteriors = []
     for n in range(BATCH, HASHES + 1, BATCH):
         logs = np.log(p)[None, :] * np.arange(n + 1)[:, None] + np.log1p(-p)[None, :] * (n - np.arange(n + 1))[:, None]
         weight = np.exp(logs - logs.max(axis=1, keepdims=True))
-        above = weight[:, s >= percent / 100].sum(axis=1) / weight.sum(axis=1)
-        out.append(int(np.argmax(above >= MISS)))
-    return tuple(out)
+        posteriors.append(weight[:, s >= percent / 100].sum(axis=1) / weight.sum(axis=1))
+    low, high = -60.0, 0.0  # logarithms of bounds that do and may not miss few enough
+    for _ in range(40):
+        middle = (low + high) / 2
+        bounds = tuple(int(np.argmax(above >= np.exp(middle))) for above in posteriors)
+        low, high = (middle, high) if missed(bounds, percent / 100) <= MISS else (low, middle)
+    return tuple(int(np.argmax(above >= np.exp(low))) for above in posteriors)
 
 
 def survivors(signatures: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -178,6 +178,16 @@ def test_near_dedup(docs, bucket, monkeypatch):
     assert len(rows) == len(corpus()) - 1
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_pruning_misses_few_pairs_at_the_threshold(percent):
+    r = np.random.Generator(np.random.PCG64(1))
+    p = percent / 100 + (1 - percent / 100) / 256
+    batches = r.binomial(near.BATCH, p, (200_000, near.HASHES // near.BATCH))
+    gone = (batches.cumsum(axis=1) < np.array(near.least_matches(percent))).any(axis=1).mean()
+    assert gone < 1.3 * near.MISS
+    assert np.isclose(near.missed(near.least_matches(percent), percent / 100), gone, rtol=0.3)
+
+
 def test_rows_without_an_id_go_each_by_its_own_text(spark):
     texts = [" ".join(f"{w}{k}" for k in range(20)) for w in "abcde"]
     rows = [(1, texts[0]), (2, texts[1]), (None, texts[0]), (None, texts[2]), (None, texts[3]), (None, f"so {ITEM} it is"), (None, None)]
