@@ -15,7 +15,7 @@ from stellate.llm.shared import CHUNK_BYTES, mix64, row_key, text_slices
 
 #: A passage matches an item if it takes at most (100 - PERCENT) % of the item's words as edits.
 PERCENT = 80
-#: Items of fewer words are no evidence: single words and phrases occur anywhere.
+#: Items of fewer words are allowed no edits, and are sought as they are.
 MIN_WORDS = 5
 #: Sampled symbols of a key, and keys. A part-sized window at the widest allowed distance
 #: shares a key with its part with a probability over 0.9; windows beside it add their chances.
@@ -24,8 +24,14 @@ SAMPLED, KEYS = 3, 20
 PART_WORDS = 30
 #: Item words that a pass holds; more items take more passes.
 PASS_WORDS = 1_000_000
-_WORD = re.compile(r"\w+")
-_BREAK = re.compile(r"\s")
+#: Letters and marks of scripts without spaces between words: Thai, Lao, Burmese, Khmer, Tai, kana, bopomofo, Han.
+_SPACELESS = (
+    "\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ecd\u0edc-\u0edf\u1000-\u103f\u1050-\u108f\u1780-\u17d3\u1950-\u19cf\u1a20-\u1a7c"
+    "\u3005-\u3007\u3041-\u309a\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\ua9e0-\ua9ef\ua9fa-\ua9fe\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_WORD = re.compile(rf"[{_SPACELESS}]|[^\W{_SPACELESS}]+")
+_BREAK = re.compile(rf"[\s{_SPACELESS}]")
 
 
 def lowered(text: str) -> str:
@@ -104,9 +110,13 @@ class Index:
 
     def __post_init__(self) -> None:
         n = len(self.vocabulary) + 1
-        bounds = [part_bounds(len(w)) for w in self.words]
+        self.whole: dict[int, dict[tuple[int, ...], list[int]]] = {}  # the items under MIN_WORDS, by size
+        for k, w in enumerate(self.words):
+            if len(w) < MIN_WORDS:
+                self.whole.setdefault(len(w), {}).setdefault(tuple(w.tolist()), []).append(k)
+        bounds = [part_bounds(len(w)) if len(w) >= MIN_WORDS else [0] for w in self.words]
         parts = [w[a:b] for w, cuts in zip(self.words, bounds) for a, b in zip(cuts, cuts[1:])]
-        self.part_item = np.repeat(np.arange(len(bounds)), [len(cuts) - 1 for cuts in bounds])
+        self.part_item = np.repeat(np.arange(len(bounds)), np.array([len(cuts) - 1 for cuts in bounds], np.int64))
         self.part_at = np.array([a for cuts in bounds for a in cuts[:-1]], np.int64)
         sizes = np.array([len(w) for w in parts], np.int64)
         flat = np.concatenate([*parts, np.zeros(0, np.int64)])
@@ -121,7 +131,7 @@ class Index:
         self.all_pairs = np.unique(np.concatenate([*self.pairs.values(), np.zeros(0, np.int64)]))
 
     def encode(self, text: str) -> np.ndarray:
-        """Word numbers; a long text is cut at white space, so its words are not all held as strings."""
+        """Word numbers; a long text is cut between words, so its words are not all held as strings."""
         parts, at = [], 0
         while at < len(text):
             cut = _BREAK.search(text, at + CHUNK_BYTES) if len(text) - at > CHUNK_BYTES else None
@@ -164,6 +174,13 @@ class Index:
                 for k in self.order[low[w] : high[w], key]:
                     text = int(owner[starts[w]])  # a place is where the item would begin, so it may lie before the text
                     near.setdefault((text, int(self.part_item[k])), set()).add(int(starts[w] - bounds[text] - self.part_at[k]))
+        for size, items in self.whole.items():
+            begins = np.array([w[0] for w in items], np.int64)
+            for w in np.flatnonzero(np.isin(flat[: max(0, len(flat) - size + 1)], begins)).tolist():
+                text = int(owner[w])
+                if w + size <= bounds[text + 1]:
+                    for k in items.get(tuple(flat[w : w + size].tolist()), ()):
+                        near.setdefault((text, k), set()).add(w - int(bounds[text]))
         out = []
         for (text, item), places in sorted(near.items()):
             out += [(text, item, *m) for m in self._verified(flat[bounds[text] : bounds[text + 1]], item, np.array(sorted(places)))]
@@ -239,7 +256,7 @@ def build_index(rows: list[tuple], percent: int = PERCENT) -> Index:
     ids, words = [], []
     for item_id, text in rows:
         found = _WORD.findall(lowered(text or ""))
-        if len(found) >= MIN_WORDS:
+        if found:
             ids.append(item_id)
             words.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in found], np.int64))
     return Index(ids, words, vocabulary, percent)
@@ -248,8 +265,9 @@ def build_index(rows: list[tuple], percent: int = PERCENT) -> Index:
 def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", item_column: str = "item_id") -> DataFrame:
     """(id, item, start, end, distance, item_words): passages that match an item, in code points.
 
-    Words are runs of letters, digits and underscores in lower case; distances are in words.
-    Null and empty texts match nothing, nor do items of fewer than MIN_WORDS words. Repeated
+    Words are runs of letters, digits and underscores in lower case, and single characters of
+    scripts without spaces; distances are in words. Null and empty texts match nothing. Items of
+    fewer than MIN_WORDS words match only without edits. Repeated
     rows give repeated matches. Documents are scanned in place, without a shuffle. Items are
     taken in passes of about PASS_WORDS words, so what a task holds does not grow with them.
     """

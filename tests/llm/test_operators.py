@@ -260,6 +260,17 @@ def test_decontamination_recall_of_long_items(size, n):
     assert sum(found[k, k] == 2 for k in range(n)) >= 0.97 * n
 
 
+def test_decontamination_of_short_items_and_scripts_without_spaces(spark):
+    chinese, thai = "今天天气很好我们一起去公园散步吧", "วันนี้อากาศดีมาก"
+    items = spark.createDataFrame([(1, "Lima, Peru"), (2, chinese), (3, thai), (4, "..."), (5, "サクラ")], "item_id long, text string")
+    texts = ["in lima peru!", "peru lima", "lima", f"他说{chinese}。", f"他说{chinese.replace('公', '花')}。", f"ก{thai}", "サクラ咲くサクラ", "", None, "..."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = leaks.matches(docs, items).collect()
+    want = [(0, 1, 0), (3, 2, 0), (4, 2, 1), (5, 3, 0), (6, 5, 0), (6, 5, 0)]
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in rows) == want
+    assert {texts[r["doc_id"]][r["start"] : r["end"]] for r in rows if not r["distance"]} == {"lima peru", chinese, thai, "サクラ"}
+
+
 @pytest.mark.parametrize("same_core", [repeats.SAME_CORE, 0])
 def test_repeats(docs, same_core, monkeypatch):
     monkeypatch.setattr(repeats, "SAME_CORE", same_core)
