@@ -16,6 +16,8 @@ from stellate.llm.shared import mix64, partitions, row_key, shingle_sets, stored
 
 WIDTH = 5
 BANDS, ROWS = 24, 5
+#: Further bands, of the next values, for classes that share one band only and that in a large bucket.
+SECOND = 12
 #: Values of a signature: the bands take the first ones, the comparison all.
 HASHES = 960
 #: Signature values are compared in batches; a pair goes once it is too improbable that its
@@ -44,10 +46,10 @@ def signature(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each band; the band's number is part of it."""
-    rows = signatures[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
-    key = np.tile(mix64(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(signatures), 1))
+def band_keys(signatures: np.ndarray, first: int = 0, count: int = BANDS) -> np.ndarray:
+    """A 64-bit key of each band from the first; the band's number is part of it."""
+    rows = signatures[:, first * ROWS : (first + count) * ROWS].reshape(-1, count, ROWS).astype(np.uint64)
+    key = np.tile(mix64(np.arange(first + 1, first + count + 1, dtype=np.uint64)), (len(signatures), 1))
     for r in range(ROWS):
         key = mix64(key ^ (rows[:, :, r] + np.uint64(r + 1) * np.uint64(0x1000003)))
     return key.view(np.int64)
@@ -152,27 +154,38 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), HASHES)
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    """(key, node, marks, split): a class in each place where it is compared with others; split
-    has a bit for each of its bands that is not a place of its own.
-
-    Bands with one class are dropped. A band's bucket over BUCKET is split by each further band:
-    similar classes share two bands almost as surely as one. What is still over BUCKET is cut into blocks,
-    and each two blocks meet in a place of their own, so no pair is lost and no place grows.
-    """
+def _banded(classes: DataFrame, first: int, count: int) -> DataFrame:
+    """(node, band, key) of these bands."""
     node = classes.schema["node"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = band_keys(_matrix(batch.column("marks"))) if batch.num_rows else np.zeros((0, BANDS), np.int64)
-            at = np.repeat(np.arange(batch.num_rows), BANDS)
+            keys = band_keys(_matrix(batch.column("marks")), first, count) if batch.num_rows else np.zeros((0, count), np.int64)
+            at = np.repeat(np.arange(batch.num_rows), count)
             for a in range(0, len(at), 200_000):
                 part = slice(a, a + 200_000)
-                band = pa.array((np.arange(len(at)) % BANDS).astype(np.int32)[part])
+                band = pa.array((np.arange(len(at)) % count + first).astype(np.int32)[part])
                 columns = [batch.column("node").take(pa.array(at[part])), band, pa.array(keys.reshape(-1)[part])]
                 yield pa.RecordBatch.from_arrays(columns, names=["node", "band", "key"])
 
-    bands = stored(classes.select("node", "marks").mapInArrow(run, f"node {node}, band int, key bigint"), "bands")
+    return classes.select("node", "marks").mapInArrow(run, f"node {node}, band int, key bigint")
+
+
+def _members(classes: DataFrame) -> DataFrame:
+    """(key, node, marks, split, again): a class in each place where it is compared with others; split
+    has a bit for each of its bands that is not a place of its own; `again` tells places for
+    pairs that share one band only.
+
+    Bands with one class are dropped. A band's bucket over BUCKET is split by each further bucket
+    over BUCKET, as pairs that share a smaller one meet there, and for pairs that share no other
+    band by SECOND bands of other values. What is still over BUCKET is cut into blocks, and each two
+    blocks meet in a place of their own, so that loses no pair and no place grows.
+
+    A pair at the threshold shares no band with a probability of 6.9e-5 at 0.80 (7e-7 at 0.85). In
+    large buckets it can also share just one (8.1e-4; 1.4e-5) and none of the SECOND (8.3e-3;
+    8e-4), which adds 7e-6 (1e-8) at most.
+    """
+    bands = stored(_banded(classes, 0, BANDS), "bands")
 
     def sized(rows: DataFrame) -> DataFrame:
         sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -180,33 +193,37 @@ def _members(classes: DataFrame) -> DataFrame:
 
     by_band = stored(sized(bands), "buckets")
     over = by_band.where(F.col("size") > BUCKET).select("node", "key")
-    others = by_band.select("node", F.col("key").alias("other"))
-    twice = over.join(others, "node").where("key < other").select("node", F.xxhash64("key", "other").alias("key"))
+    large = classes.join(over.select("node").distinct(), "node", "left_semi")
+    second = stored(_banded(large, BANDS, SECOND), "second").select("node", F.col("key").alias("other"), F.lit(True).alias("again"))
+    others = over.select("node", F.col("key").alias("other"), F.lit(False).alias("again")).union(second)
+    twice = over.join(others, "node").where("again OR key < other").select("node", F.xxhash64("key", "other").alias("key"), "again")
     finer = sized(twice)
     blocks = F.ceil(F.col("size") / BUCKET).cast("int")
     own = F.pmod(F.hash("node"), blocks)
-    cut = finer.where(F.col("size") > BUCKET).select("node", "key", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
-    met = cut.select("node", F.xxhash64("key", F.least("own", "j"), F.greatest("own", "j")).alias("key"))
-    places = by_band.where(F.col("size") <= BUCKET).select("node", "key")
-    places = places.union(finer.where(F.col("size") <= BUCKET).select("node", "key")).union(met)
+    cut = finer.where(F.col("size") > BUCKET).select("node", "key", "again", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
+    met = cut.select("node", F.xxhash64("key", F.least("own", "j"), F.greatest("own", "j")).alias("key"), "again")
+    places = by_band.where(F.col("size") <= BUCKET).select("node", "key", F.lit(False).alias("again"))
+    places = places.union(finer.where(F.col("size") <= BUCKET).select("node", "key", "again")).union(met)
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("band"))
     split = by_band.where(F.col("size") > BUCKET).groupBy("node").agg(F.bit_or(bit).alias("split"))
     placed = places.distinct().join(classes.select("node", "marks"), "node").join(split, "node", "left")
-    return stored(placed.select("key", "node", "marks", F.coalesce("split", F.lit(0)).cast("bigint").alias("split")), "members")
+    return stored(placed.select("key", "node", "marks", F.coalesce("split", F.lit(0)).cast("bigint").alias("split"), "again"), "members")
 
 
 def _first_meeting(group: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether this place is the first that a pair shares; always true in places that are no band."""
+    """Whether this place is the first that a pair shares; in places that are no band, whether they are for it."""
     keys = band_keys(_matrix(group.column("marks").combine_chunks()))
+    again = group.column("again")[0].as_py()
     here = np.flatnonzero((keys == group.column("key")[0].as_py()).all(axis=0))
-    if not len(here):
+    if not len(here) and not again:
         return np.ones(len(i), bool)
     split = np.asarray(group.column("split").combine_chunks())
     places = (split[:, None] >> np.arange(BANDS)[None, :]) & 1 == 0
     out = np.empty(len(i), bool)
     for a in range(0, len(i), 100_000):
         part = slice(a, a + 100_000)
-        out[part] = ((keys[i[part]] == keys[j[part]]) & places[i[part]]).argmax(axis=1) == here[0]
+        alike = keys[i[part]] == keys[j[part]]
+        out[part] = alike.sum(axis=1) == 1 if again else (alike & places[i[part]]).argmax(axis=1) == here[0]
     return out
 
 
@@ -241,6 +258,7 @@ def _pairs(members: DataFrame, percent: int, tree: bool) -> DataFrame:
         if held:
             yield emitted(pa.Table.from_batches(held))
 
+    members = members.where(~F.col("again")) if tree else members  # the second round suffices for those
     placed = members.repartition(partitions(members.sparkSession), "key").sortWithinPartitions("key", "node")
     found = placed.mapInArrow(run, f"a {node}, b {node}")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -178,6 +178,17 @@ def test_near_dedup(docs, bucket, monkeypatch):
     assert len(rows) == len(corpus()) - 1
 
 
+def test_pairs_of_one_large_bucket_meet(spark, monkeypatch):
+    monkeypatch.setattr(near, "BUCKET", 2)
+    marks = np.random.Generator(np.random.PCG64(4)).integers(0, 256, (6, near.HASHES), np.uint8)
+    marks[:, : near.ROWS] = marks[0, : near.ROWS]  # all share the first band
+    marks[1] = marks[0]
+    marks[1, near.ROWS : near.BANDS * near.ROWS : near.ROWS] += 1  # and these two no other, but nearly all values
+    classes = spark.createDataFrame([(k, bytearray(m.tobytes())) for k, m in enumerate(marks)], "node long, marks binary")
+    members = near._members(classes).withColumn("component", F.col("node"))
+    assert got(near._pairs(members, 85, tree=False), "a", "b") == [(0, 1)]
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_pruning_misses_few_pairs_at_the_threshold(percent):
     r = np.random.Generator(np.random.PCG64(1))
