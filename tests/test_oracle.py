@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from stellate.plans import facts
+import oracle
+from stellate.plans import catalogue
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalogue.queries()
+ORACLE = oracle.oracle_sql()
 
 # One key holds a third of the rows: a replayed registration, a tournament, a player, a provider.
 SKEW = {
