@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import lattice, leaks, lines, mix, near, quality, repeats, secrets, tokens, urls
+from stellate.llm import fingerprints, lattice, leaks, lines, mix, near, quality, repeats, secrets, tokens, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality.op8_quality,
         "op9_decontamination": leaks.op9_decontamination,
         "op10_repeats": repeats.op10_repeats,
+        "op13_fingerprints": fingerprints.op13_fingerprints,
     }
 
 

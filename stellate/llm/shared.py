@@ -26,11 +26,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the cluster's shared folder and read back.
 
     Cuts the lineage: a lost executor costs the reading of files, not the steps before. Each
-    call takes a fresh folder. Only where the session names no folder is one of our own set.
+    call takes a fresh folder. Where the session names no folder, one of our own is set on a
+    local master only, whose tasks share one machine; elsewhere that is an error.
     """
     spark = df.sparkSession
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"name a folder that all executors share in {CHECKPOINT_DIR}")
         root = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set(CHECKPOINT_DIR, root)
     path = f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
