@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from stellate.llm.shared import UPPER, partitions, stored
 
 #: Samples of a fingerprint; the likeness of two is off by 0.5 / sqrt(SAMPLES) at most (one deviation).
-SAMPLES = 32
+SAMPLES = 24
 #: Bits of a sample in the fingerprint, and hex digits that show them.
-BITS, DIGITS = 40, 10
+BITS, DIGITS = 31, 8
+MASK = 2**BITS - 1
+#: Samples drawn side by side: more would make one generated method too long for the JVM to compile.
+BLOCK = 2
 SPACE_CHARS = "\t\n\x0b\x0c\r"
 KEY = ["k1", "k2"]
 
@@ -34,27 +37,31 @@ def samples(terms: DataFrame, keys: list[str], weights: dict[str, str], n: int =
     `terms` has a row for each group and term: a 64-bit `term` and the weights, of which null or 0
     leaves the term out. Each sample k draws r and c from Gamma(2, 1) and b from [0, 1) by hashing the
     term, so that all groups draw alike; t = floor(ln(weight) / r + b), and the term with the
-    least c * exp(-r * (t - b + 1)) is the group's sample, shown by a hash of (term, t). Two groups
+    least c * exp(-r * (t - b + 1)) is the group's sample, shown by the term's hash xor t. Two groups
     have the same sample with a probability equal to their generalised Jaccard similarity
     (sum of least weights over sum of greatest). Logarithms are compared, in steps of 2**-16;
     a tie goes to the lesser hash. A group without terms gives no row, one without weights nulls.
     """
+    blocks = terms.select("*", F.explode(F.array(*(F.lit(k) for k in range(0, n, BLOCK)))).alias("block"))
     drawn = {}
-    for k in range(n):
-        a, b, c = (F.xxhash64(F.col("term"), F.lit(k + j * n)) for j in range(3))
+    for k in range(BLOCK):
+        a, b, c = (F.xxhash64(F.col("term"), F.col("block"), F.lit(k + j * BLOCK)) for j in range(3))
         drawn |= {f"r{k}": _gamma(a), f"c{k}": F.ln(_gamma(b)), f"b{k}": F.shiftrightunsigned(c, 11) * 2.0**-53, f"h{k}": c}
     logs = {f"ln_{w}": F.when(F.col(w) > 0, F.ln(F.col(w))) for w in weights}
-    rows = terms.select(*keys, *(v.alias(name) for name, v in (drawn | logs).items()))
+    rows = blocks.select(*keys, "block", *(v.alias(name) for name, v in (drawn | logs).items()))
 
     def least(k: int, w: str) -> Column:
         t = F.floor(F.col(f"ln_{w}") / F.col(f"r{k}") + F.col(f"b{k}"))
-        rank = F.round((F.col(f"c{k}") - F.col(f"r{k}") * (t - F.col(f"b{k}") + 1)) * 65536.0).cast("bigint")
-        shown = F.xxhash64(F.col(f"h{k}"), t).bitwiseAND(F.lit(2**BITS - 1))
-        return F.min(F.when(t.isNotNull(), F.shiftleft(rank, BITS).bitwiseOR(shown))).alias(f"{w}_{k}")
+        rank = ((F.col(f"c{k}") - F.col(f"r{k}") * (t - F.col(f"b{k}") + 1)) * 65536.0).cast("bigint")
+        return F.min(F.shiftleft(rank, BITS).bitwiseOR(F.col(f"h{k}").bitwiseXOR(t).bitwiseAND(F.lit(MASK)))).alias(f"{w}_{k}")
 
-    found = rows.groupBy(*keys).agg(*(least(k, w) for w in weights for k in range(n)))
-    arrays = (F.array(*(F.col(f"{w}_{k}").bitwiseAND(F.lit(2**BITS - 1)) for k in range(n))).alias(out) for w, out in weights.items())
-    return found.select(*keys, *arrays)
+    found = rows.groupBy(*keys, "block").agg(*(least(k, w) for w in weights for k in range(BLOCK)))
+    parts = {w: F.array(*(F.col(f"{w}_{k}").bitwiseAND(F.lit(MASK)).cast("int") for k in range(BLOCK))) for w in weights}
+    # blocks of one group lie together, so nothing is shuffled here
+    lists = (F.array_sort(F.collect_list(F.struct("block", part.alias("part")))).alias(w) for w, part in parts.items())
+    gathered = found.groupBy(*keys).agg(*lists)
+    arrays = (F.flatten(F.transform(w, lambda x: x["part"])).alias(out) for w, out in weights.items())
+    return gathered.select(*keys, *arrays)
 
 
 def likeness(a: Column, b: Column, n: int = SAMPLES) -> Column:
@@ -82,7 +89,7 @@ def _ordered(docs: DataFrame) -> DataFrame:
 
 
 def _links(ordered: DataFrame) -> DataFrame:
-    """For each row its next one: k1, k2 (of the next), p1, p2, p_chars (its own), and how often: `times`.
+    """For each row its next one: k1, k2 (of the next), p1, p2, p_id, p_chars (its own), and how often: `times`.
 
     The last row of a partition is followed by the first of the next partition that has rows, the very last by
     the very first; that table has a row for each partition of the sort, which bounds its broadcast. All copies of a row but the last
@@ -93,11 +100,11 @@ def _links(ordered: DataFrame) -> DataFrame:
     after = F.lead("first").over(Window.orderBy("part"))
     edges = edges.select("last", F.coalesce(after, F.min("first").over(Window.partitionBy())).alias("following"))
     step = ordered.join(F.broadcast(edges), F.col("at") == F.col("last"), "left")
-    previous = step.select(F.coalesce("following", F.col("at") + 1).alias("next"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("n_chars").alias("p_chars"))
+    previous = step.select(F.coalesce("following", F.col("at") + 1).alias("next"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("id").alias("p_id"), F.col("n_chars").alias("p_chars"))
     last = previous.join(ordered.select("at", *KEY), F.col("next") == F.col("at"))
-    last = last.select(*KEY, "p1", "p2", "p_chars", F.lit(1).cast("bigint").alias("times"), F.lit(False).alias("own"))
+    last = last.select(*KEY, "p1", "p2", "p_id", "p_chars", F.lit(1).cast("bigint").alias("times"), F.lit(False).alias("own"))
     inner = ordered.where("copies > 1").select(
-        *KEY, F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("n_chars").alias("p_chars"), (F.col("copies") - 1).alias("times"), F.lit(True).alias("own")
+        *KEY, F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("id").alias("p_id"), F.col("n_chars").alias("p_chars"), (F.col("copies") - 1).alias("times"), F.lit(True).alias("own")
     )
     return last.union(inner)
 
@@ -121,10 +128,11 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text")
     keyed = rows.select("*", F.xxhash64("id", "text").alias("k1"), F.xxhash64(F.lit(7), null_id, "id", "text").alias("k2"))
     ordered = _ordered(keyed.select("id", *KEY, F.length("text").cast("bigint").alias("n_chars")))
     links = _links(ordered)
-    whole = keyed.groupBy(*KEY).agg(F.first("id").alias("id"), F.first("text").alias("text"))
+    # read twice with the same columns, so that texts are shuffled once
+    whole = keyed.groupBy(*KEY).agg(F.first("text").alias("text"))
     third = F.floor(F.col("p_chars") / 3).cast("int")
     heads = whole.join(links, KEY).select(
-        F.col("k1").alias("n1"), F.col("k2").alias("n2"), "p1", "p2", "times", "own", F.left("text", third).alias("head")
+        F.col("k1").alias("n1"), F.col("k2").alias("n2"), "p1", "p2", F.col("p_id").alias("id"), "times", "own", F.left("text", third).alias("head")
     )
     n_chars = F.length("text")
     edited = F.concat(F.left("text", n_chars - F.floor(n_chars / 3).cast("int")), "head")
