@@ -150,6 +150,7 @@ def test_rows_equal_throughout_a_hot_conversation_split(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
