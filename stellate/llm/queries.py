@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import fingerprints, lattice, leaks, lines, mix, near, quality, repeats, secrets, tokens, turns, urls
+from stellate.llm import fingerprints, lattice, leaks, lines, mix, near, phrases, quality, repeats, secrets, tokens, turns, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality.op8_quality,
         "op9_decontamination": leaks.op9_decontamination,
         "op10_repeats": repeats.op10_repeats,
+        "op11_phrases": phrases.op11_phrases,
         "op12_turns": turns.op12_turns,
         "op13_fingerprints": fingerprints.op13_fingerprints,
     }
@@ -31,4 +32,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_dedup": lines.OP3_SQL,
         "op4_url_filters": urls.OP4_SQL,
         "op8_quality_rules": quality.OP8_SQL,
+        "op11_phrases": phrases.OP11_SQL,
     }
