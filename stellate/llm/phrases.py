@@ -17,7 +17,7 @@ from stellate.llm.shared import mix64, partitions, stored, word_hashes
 LONGEST, MIN_COUNT = 4, 30
 TOP = 2000
 #: Text that a task counts at once, in bytes.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 #: Bits of the filter of frequent pairs that each task holds: 8 MB, however large the corpus.
 FILTER_BITS = 1 << 26
 
