@@ -20,6 +20,8 @@ TOP = 2000
 BATCH_BYTES = 2 << 20
 #: Bits of the filter of frequent pairs that each task holds: 8 MB, however large the corpus.
 FILTER_BITS = 1 << 26
+#: Bits by which pairs are told apart when they are first counted: fewer to shuffle, or fewer that pass in vain.
+HASH_BITS = 40
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -77,14 +79,14 @@ class Words:
         return pairs // size // size, pairs // size % size, pairs % size
 
     def hashes(self, pairs: np.ndarray) -> np.ndarray:
-        """48 bits of each pair of words in its language."""
+        """HASH_BITS of each pair of words in its language."""
         # a vocabulary word holds no white space, so each is one word here
         word = word_hashes([b" ".join(self.vocabulary.cast(pa.large_binary()).to_pylist())])[0]
         lang = np.array([word_hashes([f"l{x.encode().hex()}".encode()])[0][0] for x in self.langs], np.uint64)
         own, first, second = self.parts(pairs)
         with np.errstate(over="ignore"):
             mixed = mix64(word[first] * np.uint64(3) + mix64(word[second] + lang[own]))
-        return mixed >> np.uint64(16)
+        return mixed >> np.uint64(64 - HASH_BITS)
 
 
 def batched(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
