@@ -459,6 +459,34 @@ SINKS = {f"deployed_{name}": f"SELECT * FROM {name}" for name in MARTS} | {
     ),
 }
 
+_GATE = " UNION ALL ".join(f"SELECT '{table}' AS table_name, count(*) AS published_rows FROM {table}" for table in SOURCE_TABLES)
+_HALF = "(SELECT * FROM registrations WHERE registration_id % 2 = 0)"
+_HEADLINE = (
+    "SELECT '{read}' AS read, count(*) AS registrations, CAST(count_if(is_paid) AS BIGINT) AS paid_registrations, "
+    "CAST(sum(net_revenue_cents) AS BIGINT) / CAST(100 AS DOUBLE) AS total_net_revenue_aud FROM fct_registration{where}"
+)
+# The strict build lands half of the registrations, so references to and rules on them are counted anew.
+_HALVED = [rule.replace("FROM registrations", f"FROM {_HALF}") for rule in _FK + _ROWS]
+
+BUILDS = {
+    "verify": " UNION ALL ".join(
+        f"SELECT '{name.removeprefix('reconcile_')}' AS area, * FROM ({text})" for name, text in RECONCILE.items()
+    ),
+    "layer_descriptions": (
+        "SELECT * FROM (VALUES ('raw', 'Landing: one typed copy per source table', 6), "
+        "('stg', 'Staging: cleaned and deduplicated', 6), ('core', 'Core: dimensions and facts of the star schema', 6), "
+        "('mart', 'Marts: views that answer business questions', 5)) AS t(layer, description, relations)"
+    ),
+    "strict_gate": (
+        f"SELECT r.table_name, column_name, rule, offending, 1 AS releases, published_rows FROM ({_report(_PK + _HALVED)}) r "
+        f"JOIN ({_GATE}) c ON c.table_name = r.table_name WHERE severity = 'error' AND NOT passed"
+    ),
+    "release_reads": " UNION ALL ".join(
+        _HEADLINE.format(read=read, where=where)
+        for read, where in (("pinned", ""), ("after_failure", ""), ("current", " WHERE registration_id % 2 = 0"))
+    ),
+}
+
 
 def oracle_sql() -> dict[str, str]:
     selects = (
@@ -468,6 +496,7 @@ def oracle_sql() -> dict[str, str]:
         | RECONCILE
         | {f"landing_{table}": f"SELECT * FROM {table}" for table in SOURCE_TABLES}
         | SINKS
+        | BUILDS
     )
     prefix = "WITH " + ",".join((SOURCES, MODELS, FROM_SOURCE))
     return {name: f"{prefix}\n{select}" for name, select in selects.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -224,16 +224,82 @@ class Models:
         laid_out.write.mode("overwrite").partitionBy(partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def deploy(self) -> Warehouse:
-        """The whole build, into layers of its own each time, so it holds the tables as they are now;
-        the sources' known offences are only reported."""
+    # Builds; each is written below the scratch folder and published as a release of its own
+
+    def warehouse(self, catalog: bool = False) -> Warehouse:
         root = scratch_dir(self.spark, "warehouse")
-        warehouse = Warehouse(self.spark, prefix=f"stellate_{uuid.uuid4().hex}_", root=root)
+        return Warehouse(self.spark, prefix=f"stellate_{uuid.uuid4().hex}_", root=root, catalog=catalog)
+
+    def deploy(self, warehouse: Warehouse, strict: bool = False, **changed: DataFrame) -> None:
+        """The whole build of the sources, some of them changed; known offences are only reported, unless strict."""
+        sources = {table: self.source[table] for table in SCHEMAS} | changed
         day = F.to_date("registered_at")
-        first, last = self.source["registrations"].agg(F.min(day), F.max(day)).first()
+        first, last = sources["registrations"].agg(F.min(day), F.max(day)).first()
         calendar = (first, last) if first else CLIPPED_CALENDAR
-        pipeline.build(warehouse, self.source, calendar=calendar, strict=False)
-        return warehouse
+        pipeline.build(warehouse, sources, calendar=calendar, strict=strict)
+
+    def deployed(self, view: str) -> DataFrame:
+        """A view of the catalog; its scan names files, so it outlives the databases, which are dropped."""
+        warehouse = self.warehouse(catalog=True)
+        try:
+            self.deploy(warehouse)
+            return warehouse.table("mart", view)
+        finally:
+            warehouse.drop_layers()
+
+    @property
+    def verify(self) -> DataFrame:
+        """All areas of the reconciliation over the written tables of one release."""
+        warehouse = self.warehouse()
+        self.deploy(warehouse)
+        return pipeline.verify(warehouse)
+
+    @property
+    def layer_descriptions(self) -> DataFrame:
+        """What the catalog says of a deployed build's layers: (layer, description, relations)."""
+        warehouse = self.warehouse(catalog=True)
+        try:
+            self.deploy(warehouse)
+            return self.spark.createDataFrame(warehouse.describe_layers(), "layer string, description string, relations bigint")
+        finally:
+            warehouse.drop_layers()
+
+    @property
+    def strict_gate(self) -> DataFrame:
+        """The rules that stop a strict landing of new rows, and what its table holds after that: (table_name,
+        column_name, rule, offending, releases, published_rows). The landing would halve the registrations."""
+        warehouse = self.warehouse()
+        self.deploy(warehouse)
+        registrations = self.source["registrations"].where("registration_id % 2 = 0")
+        try:
+            self.deploy(warehouse, strict=True, registrations=registrations)
+            failed = []
+        except quality.QualityError as error:
+            failed = [(r.table_name, r.column_name, r.rule, r.offending) for r in error.failed]
+        rules = self.spark.createDataFrame(failed, "table_name string, column_name string, rule string, offending bigint")
+        raw = warehouse.release().tables("raw")
+        counts = [df.agg(F.lit(table).alias("table_name"), F.count("*").alias("published_rows")) for table, df in raw.items()]
+        releases = F.lit(len(warehouse.store.numbers())).cast("bigint").alias("releases")
+        return rules.join(reduce(DataFrame.unionByName, counts), "table_name").select(
+            "table_name", "column_name", "rule", "offending", releases, "published_rows"
+        )
+
+    @property
+    def release_reads(self) -> DataFrame:
+        """Headlines of a release that stays pinned while a strict build fails and another halves the registrations."""
+        warehouse = self.warehouse()
+        self.deploy(warehouse)
+        pinned = warehouse.release()
+        halved = self.source["registrations"].where("registration_id % 2 = 0")
+        try:
+            self.deploy(warehouse, strict=True, registrations=halved)
+        except quality.QualityError:
+            pass  # the given tables offend; the next read shows that nothing changed
+        after_failure = warehouse.release()
+        self.deploy(warehouse, registrations=halved)
+        reads = {"pinned": pinned, "after_failure": after_failure, "current": warehouse.release()}
+        rows = (reports.headline(r.table("core", "fct_registration")).select(F.lit(name).alias("read"), "*") for name, r in reads.items())
+        return reduce(DataFrame.unionByName, rows)
 
 
 # Names of Models attributes that are queries as they stand.
@@ -278,6 +344,10 @@ PLAIN = (
     "reconcile_players",
     "reconcile_refunds",
     "landing_unknown_fields",
+    "verify",
+    "layer_descriptions",
+    "strict_gate",
+    "release_reads",
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -296,7 +366,7 @@ def _sink(fact: str) -> Query:
 
 
 def _deployed(view: str) -> Query:
-    return lambda spark, folder: Models(spark, folder).deploy().table("mart", view)
+    return lambda spark, folder: Models(spark, folder).deployed(view)
 
 
 def queries() -> dict[str, Query]:

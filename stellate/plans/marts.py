@@ -10,9 +10,11 @@ the result exact even if a dimension repeats a key. Money is summed as integer c
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
-from stellate.sinks.tables import Warehouse
+from stellate.sinks.releases import Release
 
 # Fixed value: fewest matches a player on the leaderboard has played.
 MIN_MATCHES = 5
@@ -137,11 +139,29 @@ def refund_rate(stg_payments: DataFrame) -> DataFrame:
     return stg_payments.sparkSession.sql(REFUND_RATE, stg_payments=stg_payments)
 
 
-def publish(warehouse: Warehouse, min_matches: int = MIN_MATCHES) -> None:
-    """Create or replace the five views over the warehouse's tables (SNK-5)."""
-    core = ("fct_registration", "fct_match_participation", "dim_date", "dim_player", "dim_tournament")
-    names = {table: warehouse.name("core", table) for table in core}
-    names["stg_payments"] = warehouse.name("stg", "stg_payments")
-    for view, text in VIEWS.items():
-        query = text.format(**names, min_matches=min_matches)
-        warehouse.spark.sql(f"CREATE OR REPLACE VIEW {warehouse.name('mart', view)} AS {query}")
+# The tables the views read, and their layers.
+READS = {
+    "fct_registration": "core",
+    "fct_match_participation": "core",
+    "dim_date": "core",
+    "dim_player": "core",
+    "dim_tournament": "core",
+    "stg_payments": "stg",
+}
+
+
+def of_release(release: Release, min_matches: int = MIN_MATCHES) -> dict[str, DataFrame]:
+    """The five marts over the tables of one release."""
+    tables = {table: release.table(layer, table) for table, layer in READS.items()}
+    spark = release.spark
+    return {view: spark.sql(text, **_named(text, tables), min_matches=min_matches) for view, text in VIEWS.items()}
+
+
+def view_texts(release: Release, min_matches: int = MIN_MATCHES) -> list[tuple[str, str]]:
+    """The five views as SQL over the files of one release, for the catalog (SNK-5)."""
+    scans = {table: f"({release.version(layer, table).as_sql(release.spark)})" for table, layer in READS.items()}
+    return [(view, text.format(**scans, min_matches=min_matches)) for view, text in VIEWS.items()]
+
+
+def _named(text: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    return {table: df for table, df in tables.items() if f"{{{table}}}" in text}

@@ -1,4 +1,4 @@
-"""The full build: land, check, stage, model, publish; every step replaces its tables."""
+"""The full build: land, check, stage, model, then publish all layers at once as a release."""
 
 from __future__ import annotations
 
@@ -9,18 +9,19 @@ from pyspark.sql import DataFrame, Row
 
 from stellate.functions.dates import AGE_AS_OF, CALENDAR_END, CALENDAR_START
 from stellate.plans import dimensions, facts, marts, quality, reconcile, reports, staging
+from stellate.sinks.releases import Draft, Release
 from stellate.sinks.tables import Warehouse
 from stellate.sources.schemas import SCHEMAS
 
 Tables = Mapping[str, DataFrame]
 
 
-def land(warehouse: Warehouse, sources: Tables) -> dict[str, DataFrame]:
-    """Replace the landing tables; rows that do not fit their schema fail here."""
-    return {table: warehouse.replace("raw", table, sources[table]) for table in SCHEMAS}
+def land(draft: Draft, sources: Tables) -> dict[str, DataFrame]:
+    """Write the landing tables; rows that do not fit their schema fail here."""
+    return {table: draft.replace("raw", table, sources[table]) for table in SCHEMAS}
 
 
-def stage(warehouse: Warehouse, raw: Tables, as_of: dt.date = AGE_AS_OF) -> dict[str, DataFrame]:
+def stage(draft: Draft, raw: Tables, as_of: dt.date = AGE_AS_OF) -> dict[str, DataFrame]:
     models = {
         "stg_clubs": staging.stg_clubs(raw["clubs"]),
         "stg_players": staging.stg_players(raw["players"], as_of),
@@ -29,32 +30,36 @@ def stage(warehouse: Warehouse, raw: Tables, as_of: dt.date = AGE_AS_OF) -> dict
         "stg_payments": staging.stg_payments(raw["payments"]),
         "stg_matches": staging.stg_matches(raw["matches"]),
     }
-    return {name: warehouse.replace("stg", name, df) for name, df in models.items()}
+    return {name: draft.replace("stg", name, df) for name, df in models.items()}
 
 
 def model(
-    warehouse: Warehouse,
+    draft: Draft,
     staged: Tables,
     calendar: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END),
 ) -> dict[str, DataFrame]:
     """Dimensions first: the registration fact reads the written tournament dimension."""
     core = {
-        "dim_date": dimensions.dim_date(warehouse.spark, *calendar),
+        "dim_date": dimensions.dim_date(draft.spark, *calendar),
         "dim_player": dimensions.dim_player(staged["stg_players"]),
         "dim_club": dimensions.dim_club(staged["stg_clubs"]),
         "dim_tournament": dimensions.dim_tournament(staged["stg_tournaments"], staged["stg_clubs"]),
     }
-    core = {name: warehouse.replace("core", name, df) for name, df in core.items()}
+    core = {name: draft.replace("core", name, df) for name, df in core.items()}
     fact_models = {
         "fct_registration": facts.fct_registration(staged["stg_registrations"], core["dim_tournament"]),
         "fct_match_participation": facts.fct_match_participation(staged["stg_matches"]),
     }
     for name, df in fact_models.items():
         partition_by, cluster_by, grain = facts.LAYOUT[name]
-        core[name] = warehouse.replace("core", name, df, partition_by, cluster_by, grain)
+        core[name] = draft.replace("core", name, df, partition_by, cluster_by, grain)
     return core
 
 
+class ReconcileError(Exception):
+    """The marts of a build differ from its landing rows."""
+
+
 def build(
     warehouse: Warehouse,
     sources: Tables,
@@ -62,26 +67,43 @@ def build(
     as_of: dt.date = AGE_AS_OF,
     min_matches: int = marts.MIN_MATCHES,
     strict: bool = True,
+    reconciled: bool = False,
 ) -> list[Row]:
-    """Build all layers and return the quality report.
+    """Write, audit, publish: build all layers unseen, check them, make them the current release; returns the quality report.
 
     Each layer is read back from its written tables, so a lost executor costs a step's
     tasks and never the steps before it. A failed rule stops the build before staging,
-    or after it for repeated registrations; ``strict=False`` only reports.
+    or after it for repeated registrations; ``strict=False`` only reports. With ``reconciled`` a mart that
+    differs from the landing rows stops it too. A build that stops publishes nothing: landing tables,
+    models and views stay as they were, all of one release, and its files are deleted.
     """
     check = quality.gate if strict else DataFrame.collect
     warehouse.create_layers()
-    raw = land(warehouse, sources)
-    report = check(quality.run_checks(raw))
-    staged = stage(warehouse, raw, as_of)
-    report += check(quality.check_staged(staged["stg_registrations"]))
-    model(warehouse, staged, calendar)
-    marts.publish(warehouse, min_matches)
+    draft = warehouse.begin()
+    try:
+        raw = land(draft, sources)
+        report = check(quality.run_checks(raw))
+        staged = stage(draft, raw, as_of)
+        report += check(quality.check_staged(staged["stg_registrations"]))
+        model(draft, staged, calendar)
+        if reconciled:
+            differing = verify_release(draft.release(), min_matches).where("NOT match").limit(20).collect()
+            if differing:
+                raise ReconcileError("; ".join(f"{r.area} {r.metric} {r.key}: {r.expected} against {r.actual}" for r in differing))
+    except Exception:
+        draft.discard()
+        raise
+    warehouse.publish(draft, marts.view_texts(draft.release(), min_matches))
     return report
 
 
-def verify(warehouse: Warehouse) -> DataFrame:
-    """Marts against the landing rows they came from."""
-    raw = {table: warehouse.table("raw", table) for table in SCHEMAS}
-    views = {view: warehouse.table("mart", view) for view in marts.VIEWS}
-    return reconcile.reconcile(raw, views, reports.headline(warehouse.table("core", "fct_registration")))
+def verify_release(release: Release, min_matches: int = marts.MIN_MATCHES) -> DataFrame:
+    """Marts against the landing rows they came from, both sides read from one release (REC-6)."""
+    views = marts.of_release(release, min_matches)
+    headline = reports.headline(release.table("core", "fct_registration"))
+    return reconcile.reconcile(release.tables("raw"), views, headline, min_matches)
+
+
+def verify(warehouse: Warehouse, min_matches: int = marts.MIN_MATCHES) -> DataFrame:
+    """``verify_release`` of the current release, which it keeps reading if another is published meanwhile."""
+    return verify_release(warehouse.release(), min_matches)

@@ -47,7 +47,11 @@ WARNINGS = (("registrations", "registration_id", "unique"),)
 
 
 class QualityError(Exception):
-    """A gate rule failed."""
+    """A gate rule failed; ``failed`` holds the report's rows of such rules."""
+
+    def __init__(self, message: str, failed: Sequence[Row] = ()):
+        super().__init__(message)
+        self.failed = list(failed)
 
 
 def report(offences: DataFrame, warnings: Sequence[tuple[str, str, str]] = WARNINGS) -> DataFrame:
@@ -86,5 +90,5 @@ def gate(checks: DataFrame) -> list[Row]:
     failed = [r for r in rows if not r.passed and r.severity == "error"]
     if failed:
         lines = (f"{r.table_name}.{r.column_name} {r.rule}: {r.offending} offending" for r in failed)
-        raise QualityError("; ".join(lines))
+        raise QualityError("; ".join(lines), failed)
     return rows

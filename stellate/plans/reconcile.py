@@ -7,8 +7,9 @@ and on dirty ones the difference shows what the models removed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -71,56 +72,54 @@ def refunds(payments: DataFrame) -> DataFrame:
     )
 
 
-def compare(
-    expected: DataFrame,
-    actual: DataFrame,
-    key: Column,
-    measures: Mapping[str, tuple[Column, Column]],
-    tolerance: float = 0.0,
-) -> DataFrame:
-    """Both sides by key, as (metric, key, expected, actual, match).
+class Comparison(NamedTuple):
+    """Two sides and what is compared of them: a metric's expression on either side, by a key that holds on both."""
 
-    ``measures`` maps a metric to its expression on either side; ``key`` holds on both.
-    The sides are stacked and grouped, which pairs them like a null-safe full outer join
-    but with one shuffle, and shows a key that one side repeats as a difference.
-    """
-    names = list(measures)
-    nothing = F.lit(None).cast("double")
-
-    def side(df: DataFrame, own: int) -> DataFrame:
-        values = [
-            (measures[m][own].cast("double") if which == own else nothing).alias(f"{m}_{which}")
-            for m in names
-            for which in (0, 1)
-        ]
-        return df.select(key.alias("key"), *values)
-
-    paired = (
-        side(expected, 0)
-        .unionByName(side(actual, 1))
-        .groupBy("key")
-        .agg(*(F.sum(f"{m}_{which}").alias(f"{m}_{which}") for m in names for which in (0, 1)))
-    )
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(m).alias("metric"),
-                F.col("key").cast("string").alias("key"),
-                F.col(f"{m}_0").alias("expected"),
-                F.col(f"{m}_1").alias("actual"),
+    expected: DataFrame
+    actual: DataFrame
+    key: Column
+    measures: Mapping[str, tuple[Column, Column]]
+    tolerance: float = 0.0
+
+    def values(self, area: str) -> DataFrame:
+        """Both sides stacked: (area, metric, key, expected, actual, tolerance), one of the two values null."""
+        nothing = F.lit(None).cast("double")
+
+        def side(df: DataFrame, own: int) -> DataFrame:
+            rows = (
+                F.struct(
+                    F.lit(metric).alias("metric"),
+                    self.key.cast("string").alias("key"),
+                    *((both[own].cast("double") if which == own else nothing).alias(name) for which, name in enumerate(("expected", "actual"))),
+                )
+                for metric, both in self.measures.items()
             )
-            for m in names
-        )
+            return df.select(F.lit(area).alias("area"), F.inline(F.array(*rows)), F.lit(self.tolerance).alias("tolerance"))
+
+        return side(self.expected, 0).unionByName(side(self.actual, 1))
+
+
+def compare(comparisons: Mapping[str, Comparison]) -> DataFrame:
+    """All comparisons as (area, metric, key, expected, actual, match).
+
+    The sides of all areas are stacked and grouped, which pairs them like null-safe full outer joins
+    but with one shuffle for all, and shows a key that one side repeats as a difference.
+    """
+    stacked = reduce(DataFrame.unionByName, (c.values(area) for area, c in comparisons.items()))
+    paired = stacked.groupBy("area", "metric", "key").agg(
+        F.sum("expected").alias("expected"), F.sum("actual").alias("actual"), F.max("tolerance").alias("tolerance")
     )
-    same = F.col("expected").eqNullSafe(F.col("actual"))
-    if tolerance:
-        near = F.abs(F.col("expected") - F.col("actual")) <= tolerance
-        same = same | F.coalesce(near, F.lit(False))
-    return paired.select(F.inline(rows)).withColumn("match", same)
+    near = F.abs(F.col("expected") - F.col("actual")) <= F.col("tolerance")
+    same = F.col("expected").eqNullSafe(F.col("actual")) | F.coalesce(near, F.lit(False))
+    return paired.withColumn("match", same).drop("tolerance")
 
 
-def reconcile_totals(registrations: DataFrame, headline: DataFrame) -> DataFrame:
-    return compare(
+def _alone(comparison: Comparison) -> DataFrame:
+    return compare({"": comparison}).drop("area")
+
+
+def _totals(registrations: DataFrame, headline: DataFrame) -> Comparison:
+    return Comparison(
         totals(registrations),
         headline,
         F.lit("all"),
@@ -132,62 +131,74 @@ def reconcile_totals(registrations: DataFrame, headline: DataFrame) -> DataFrame
     )
 
 
-def reconcile_months(registrations: DataFrame, monthly_revenue: DataFrame) -> DataFrame:
+def _months(registrations: DataFrame, monthly_revenue: DataFrame) -> Comparison:
     rolled_up = monthly_revenue.groupBy("year_month").agg(F.round(F.sum("net_revenue_aud"), 2).alias("net"))
-    return compare(
-        net_by_month(registrations),
-        rolled_up,
-        F.col("year_month"),
-        {"net_revenue_aud": (money(F.col("net_cents")), F.col("net"))},
-    )
+    net = (money(F.col("net_cents")), F.col("net"))
+    return Comparison(net_by_month(registrations), rolled_up, F.col("year_month"), {"net_revenue_aud": net})
 
 
-def reconcile_fill(tournaments: DataFrame, registrations: DataFrame, tournament_fill: DataFrame) -> DataFrame:
+def _fill(tournaments: DataFrame, registrations: DataFrame, tournament_fill: DataFrame) -> Comparison:
     ratio = F.col("teams_entered") / F.col("max_teams")
     actual = tournament_fill.agg(F.avg(ratio).alias("average_fill_rate"))
     rate = F.round("average_fill_rate", 6)
-    return compare(
-        mean_fill(tournaments, registrations),
-        actual,
-        F.lit("all"),
-        {"average_fill_rate": (rate, rate)},
-        tolerance=FILL_TOLERANCE,
+    return Comparison(
+        mean_fill(tournaments, registrations), actual, F.lit("all"), {"average_fill_rate": (rate, rate)}, FILL_TOLERANCE
     )
 
 
-def reconcile_players(matches: DataFrame, leaderboard: DataFrame, min_matches: int = MIN_MATCHES) -> DataFrame:
-    """Played and won per player; the leaderboard's unknown wins count as none."""
+def _players(matches: DataFrame, leaderboard: DataFrame, min_matches: int) -> Comparison:
     expected = (
         player_records(matches)
         .where(F.col("matches_played") >= min_matches)
         .withColumnRenamed("player_id", "player_key")
     )
-    return compare(
-        expected,
-        leaderboard,
-        F.col("player_key"),
-        {
-            "matches_played": (F.col("matches_played"), F.col("matches_played")),
-            "wins": (F.col("wins"), F.coalesce("wins", F.lit(0))),
-        },
-    )
+    measures = {
+        "matches_played": (F.col("matches_played"), F.col("matches_played")),
+        "wins": (F.col("wins"), F.coalesce("wins", F.lit(0))),
+    }
+    return Comparison(expected, leaderboard, F.col("player_key"), measures)
 
 
-def reconcile_refunds(payments: DataFrame, refund_rate: DataFrame) -> DataFrame:
+def _refunds(payments: DataFrame, refund_rate: DataFrame) -> Comparison:
     same = {m: (F.col(m), F.col(m)) for m in ("payments", "refunds")}
-    return compare(refunds(payments), refund_rate, F.col("provider"), same)
+    return Comparison(refunds(payments), refund_rate, F.col("provider"), same)
+
+
+def reconcile_totals(registrations: DataFrame, headline: DataFrame) -> DataFrame:
+    return _alone(_totals(registrations, headline))
+
+
+def reconcile_months(registrations: DataFrame, monthly_revenue: DataFrame) -> DataFrame:
+    return _alone(_months(registrations, monthly_revenue))
+
+
+def reconcile_fill(tournaments: DataFrame, registrations: DataFrame, tournament_fill: DataFrame) -> DataFrame:
+    return _alone(_fill(tournaments, registrations, tournament_fill))
+
+
+def reconcile_players(matches: DataFrame, leaderboard: DataFrame, min_matches: int = MIN_MATCHES) -> DataFrame:
+    """Played and won per player; the leaderboard's unknown wins count as none."""
+    return _alone(_players(matches, leaderboard, min_matches))
+
+
+def reconcile_refunds(payments: DataFrame, refund_rate: DataFrame) -> DataFrame:
+    return _alone(_refunds(payments, refund_rate))
 
 
 def reconcile(
-    sources: Mapping[str, DataFrame], marts: Mapping[str, DataFrame], headline: DataFrame
+    sources: Mapping[str, DataFrame],
+    marts: Mapping[str, DataFrame],
+    headline: DataFrame,
+    min_matches: int = MIN_MATCHES,
 ) -> DataFrame:
-    """Every comparison, with an area column in front."""
+    """Every comparison in one stacked pass, with an area column in front."""
     registrations = sources["registrations"]
-    parts: Sequence[tuple[str, DataFrame]] = (
-        ("totals", reconcile_totals(registrations, headline)),
-        ("months", reconcile_months(registrations, marts["v_monthly_revenue"])),
-        ("fill", reconcile_fill(sources["tournaments"], registrations, marts["v_tournament_fill"])),
-        ("players", reconcile_players(sources["matches"], marts["v_player_leaderboard"])),
-        ("refunds", reconcile_refunds(sources["payments"], marts["v_refund_rate"])),
+    return compare(
+        {
+            "totals": _totals(registrations, headline),
+            "months": _months(registrations, marts["v_monthly_revenue"]),
+            "fill": _fill(sources["tournaments"], registrations, marts["v_tournament_fill"]),
+            "players": _players(sources["matches"], marts["v_player_leaderboard"], min_matches),
+            "refunds": _refunds(sources["payments"], marts["v_refund_rate"]),
+        }
     )
-    return reduce(DataFrame.unionByName, (df.select(F.lit(area).alias("area"), "*") for area, df in parts))

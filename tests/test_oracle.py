@@ -23,6 +23,8 @@ SKEW = {
     "orders": "SELECT * REPLACE (CASE WHEN r % 3 = 0 THEN '9-HOT' ELSE o_orderpriority END AS o_orderpriority, "
     "CASE WHEN r % 3 = 1 THEN 3 ELSE o_custkey END AS o_custkey)",
 }
+# These write; their models are compared on the skewed copy by their own queries.
+BUILT = ("sink", "landing", "deployed", "layer", "strict", "release")
 
 
 def connect(folder):
@@ -64,7 +66,7 @@ def test_query_equals_sql(spark, name):
     assert_same(spark, FOLDER, name)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("sink", "landing", "deployed"))])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(BUILT)])
 def test_query_equals_sql_on_skewed_data_without_broadcasts(spark, skewed, name, monkeypatch):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -114,7 +114,7 @@ def test_unknown_dates_form_a_partition(spark, tmp_path):
     pipeline.build(warehouse, sources(spark, matches=[*MATCHES, unset]))
     fact = warehouse.table("core", "fct_match_participation")
     assert fact.where("match_date IS NULL").count() == 4
-    assert glob.glob(f"{tmp_path}/nodate_core/fct_match_participation/match_date=__HIVE_DEFAULT_PARTITION__")
+    assert glob.glob(f"{tmp_path}/nodate_releases/tables/core/fct_match_participation/*/match_date=__HIVE_DEFAULT_PARTITION__")
 
 
 def test_fact_filters_prune_partitions_and_row_groups(built):
