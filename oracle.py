@@ -453,6 +453,8 @@ MARTS = ("monthly_revenue", "tournament_fill", "player_leaderboard", "player_acq
 SINKS = {f"deployed_{name}": f"SELECT * FROM {name}" for name in MARTS} | {
     "sink_fct_registration": "SELECT * FROM fct_registration",
     "sink_fct_match_participation": "SELECT * FROM fct_match_participation",
+    "sink_interleaved_fct_registration": "SELECT * FROM fct_registration",
+    "sink_interleaved_fct_match_participation": "SELECT * FROM fct_match_participation",
     "landing_unknown_fields": (
         "SELECT 'export_row' AS field, count(*) AS row_count FROM payments UNION ALL "
         "SELECT 'refund_note' AS field, count(*) AS row_count FROM payments WHERE status = 'refunded'"

@@ -215,12 +215,12 @@ class Models:
         write_lines(extra, path)
         return unknown_fields(self.spark, path, SCHEMAS["payments"])
 
-    def sink_roundtrip(self, fact: str) -> DataFrame:
+    def sink_roundtrip(self, fact: str, interleave: bool = False) -> DataFrame:
         """A fact written partitioned and clustered, and read back."""
         path = scratch_dir(self.spark, f"sink/{fact}")
         partition_by, cluster_by, grain = facts.LAYOUT[fact]
         df = getattr(self, fact)
-        laid_out = clustered(df, partition_by, cluster_by, grain)
+        laid_out = clustered(df, partition_by, cluster_by, grain, interleave)
         laid_out.write.mode("overwrite").partitionBy(partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -361,8 +361,8 @@ def _landing(table: str) -> Query:
     return lambda spark, folder: Models(spark, folder).landing(table)
 
 
-def _sink(fact: str) -> Query:
-    return lambda spark, folder: Models(spark, folder).sink_roundtrip(fact)
+def _sink(fact: str, interleave: bool) -> Query:
+    return lambda spark, folder: Models(spark, folder).sink_roundtrip(fact, interleave)
 
 
 def _deployed(view: str) -> Query:
@@ -373,6 +373,7 @@ def queries() -> dict[str, Query]:
     return (
         {name: _plain(name) for name in PLAIN}
         | {f"landing_{table}": _landing(table) for table in SCHEMAS}
-        | {f"sink_{fact}": _sink(fact) for fact in facts.LAYOUT}
+        | {f"sink_{fact}": _sink(fact, False) for fact in facts.LAYOUT}
+        | {f"sink_interleaved_{fact}": _sink(fact, True) for fact in facts.LAYOUT}
         | {f"deployed_{view.removeprefix('v_')}": _deployed(view) for view in marts.VIEWS}
     )

@@ -37,8 +37,12 @@ def model(
     draft: Draft,
     staged: Tables,
     calendar: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END),
+    interleave: bool = False,
 ) -> dict[str, DataFrame]:
-    """Dimensions first: the registration fact reads the written tournament dimension."""
+    """Dimensions first: the registration fact reads the written tournament dimension.
+
+    With ``interleave`` the facts' files are narrow in each cluster key, not in the first only.
+    """
     core = {
         "dim_date": dimensions.dim_date(draft.spark, *calendar),
         "dim_player": dimensions.dim_player(staged["stg_players"]),
@@ -52,7 +56,7 @@ def model(
     }
     for name, df in fact_models.items():
         partition_by, cluster_by, grain = facts.LAYOUT[name]
-        core[name] = draft.replace("core", name, df, partition_by, cluster_by, grain)
+        core[name] = draft.replace("core", name, df, partition_by, cluster_by, grain, interleave)
     return core
 
 
@@ -68,6 +72,7 @@ def build(
     min_matches: int = marts.MIN_MATCHES,
     strict: bool = True,
     reconciled: bool = False,
+    interleave: bool = False,
 ) -> list[Row]:
     """Write, audit, publish: build all layers unseen, check them, make them the current release; returns the quality report.
 
@@ -85,7 +90,7 @@ def build(
         report = check(quality.run_checks(raw))
         staged = stage(draft, raw, as_of)
         report += check(quality.check_staged(staged["stg_registrations"]))
-        model(draft, staged, calendar)
+        model(draft, staged, calendar, interleave)
         if reconciled:
             differing = verify_release(draft.release(), min_matches).where("NOT match").limit(20).collect()
             if differing:

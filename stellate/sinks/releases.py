@@ -208,6 +208,7 @@ class Draft:
         partition_by: str | None = None,
         cluster_by: Sequence[str] = (),
         grain: Sequence[str] = (),
+        interleave: bool = False,
     ) -> DataFrame:
         """Write this build's version of a table and return a scan of it."""
         path = f"{self.store.root}/tables/{layer}/{table}/{self.build}"
@@ -215,7 +216,7 @@ class Draft:
         if partition_by is None:
             df.write.mode("overwrite").parquet(path)
         else:
-            laid_out = clustered(df, partition_by, cluster_by, grain)
+            laid_out = clustered(df, partition_by, cluster_by, grain, interleave)
             laid_out.write.mode("overwrite").partitionBy(partition_by).parquet(path)
             last = [f for f in schema if f.name == partition_by]
             schema = T.StructType([f for f in schema if f.name != partition_by] + last)

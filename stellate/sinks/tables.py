@@ -97,10 +97,11 @@ class Warehouse:
         partition_by: str | None = None,
         cluster_by: Sequence[str] = (),
         grain: Sequence[str] = (),
+        interleave: bool = False,
     ) -> DataFrame:
         """Replace one table in a release of its own and return a scan of it; readers of the old rows keep them."""
         draft = self.begin()
-        draft.replace(layer, table, df, partition_by, cluster_by, grain)
+        draft.replace(layer, table, df, partition_by, cluster_by, grain, interleave)
         return self.publish(draft).table(layer, table)
 
     def table(self, layer: str, table: str) -> DataFrame:
