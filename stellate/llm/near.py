@@ -19,7 +19,7 @@ BANDS, ROWS = 24, 5
 #: Further bands, of the next values, for classes that share one band only and that in a large bucket.
 SECOND = 12
 #: Values of a signature: the bands take the first ones, the comparison all.
-HASHES = 960
+HASHES = 640
 #: Signature values are compared in batches; a pair goes once it is too improbable that its
 #: similarity reaches the threshold. A pair just at the threshold goes at one of all the batches
 #: with a probability of MISS at most.
@@ -29,8 +29,8 @@ MISS = 1e-3
 BUCKET = 1024
 #: Neighbours of each member that the first round verifies besides a spanning forest.
 NEAREST = 3
-#: Ids sent to all tasks at most; beyond, a shuffle join takes the place of the broadcast.
-BROADCAST_IDS = 500_000
+#: Bytes of ids sent to all tasks at most, so that texts need not be shuffled to find a few; more meet in a shuffle join.
+BROADCAST_BYTES = 8 << 20
 _FACTORS = mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 _OFFSETS = mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64))
 
@@ -171,43 +171,99 @@ def _banded(classes: DataFrame, first: int, count: int) -> DataFrame:
     return classes.select("node", "marks").mapInArrow(run, f"node {node}, band int, key bigint")
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    """(key, node, marks, split, again): a class in each place where it is compared with others; split
-    has a bit for each of its bands that is not a place of its own; `again` tells places for
-    pairs that share one band only.
+def _sized(rows: DataFrame) -> DataFrame:
+    """Rows of keys that several have, with the key's `size`. The null-safe join has a shuffle of its own, whose
+    hot keys adaptive execution splits; one that reused the aggregate's could not be."""
+    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").withColumnRenamed("key", "sized")
+    return rows.join(sizes, F.col("key").eqNullSafe(F.col("sized"))).drop("sized")
 
-    Bands with one class are dropped. A band's bucket over BUCKET is split by each further bucket
+
+def _buckets(classes: DataFrame) -> DataFrame:
+    """(node, band, key, size) of all bands that several classes share."""
+    return stored(_sized(stored(_banded(classes, 0, BANDS), "bands")), "buckets")
+
+
+def _in_place(places: DataFrame, classes: DataFrame) -> DataFrame:
+    return places.distinct().join(classes.select("node", "marks"), "node")
+
+
+def _linear(classes: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(key, node, marks): places of the first round, at most one for each class and band.
+
+    A bucket over BUCKET is dealt into blocks, each with one leader of the whole bucket, so that a group of near
+    copies becomes one component however large it is, with rows in proportion to its size.
+    """
+    small = buckets.where(F.col("size") <= BUCKET).select("node", "key")
+    blocks = F.ceil(F.col("size") / BUCKET).cast("int")
+    large = buckets.where(F.col("size") > BUCKET)
+    dealt = large.select("node", F.xxhash64("key", F.pmod(F.hash("node"), blocks)).alias("key"))
+    leaders = large.groupBy("key").agg(F.min("node").alias("node"), F.max("size").alias("size"))
+    leaders = leaders.select("node", "key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+    leaders = leaders.select("node", F.xxhash64("key", "block").alias("key"))
+    return stored(_in_place(small.union(dealt).union(leaders), classes), "members")
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows of keys whose classes are of several components."""
+    of = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    of = of.where("least <> most").select(F.col("key").alias("mixed"))
+    return rows.join(of, F.col("key").eqNullSafe(F.col("mixed")), "left_semi")
+
+
+def _members(classes: DataFrame, buckets: DataFrame, known: DataFrame) -> DataFrame:
+    """(key, node, marks, component, split, again): a class in each place where it meets classes of other
+    components (of `known`: node, component); split has a bit for each of its bands that is not a place
+    of its own; `again` tells places for pairs that share one band only.
+
+    Buckets of one component are settled and dropped, so a group of near copies costs nothing here.
+    A band's bucket over BUCKET is split by each further bucket
     over BUCKET, as pairs that share a smaller one meet there, and for pairs that share no other
-    band by SECOND bands of other values. What is still over BUCKET is cut into blocks, and each two
-    blocks meet in a place of their own, so that loses no pair and no place grows.
+    band by SECOND bands of other values. What is still over BUCKET is cut into blocks, a large component into its own ones,
+    and each two blocks meet in a place of their own unless they are of one component, so that loses no pair and no place grows.
 
     A pair at the threshold shares no band with a probability of 6.9e-5 at 0.80 (7e-7 at 0.85). In
     large buckets it can also share just one (8.1e-4; 1.4e-5) and none of the SECOND (8.3e-3;
     8e-4), which adds 7e-6 (1e-8) at most.
     """
-    bands = stored(_banded(classes, 0, BANDS), "bands")
-
-    def sized(rows: DataFrame) -> DataFrame:
-        sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-        return rows.join(sizes, "key")
-
-    by_band = stored(sized(bands), "buckets")
-    over = by_band.where(F.col("size") > BUCKET).select("node", "key")
+    component = F.coalesce("component", "node").alias("component")
+    by_band = buckets.join(known, "node", "left").select("node", component, "band", "key", "size")
+    by_band = stored(_mixed(by_band), "unsettled")
+    over = by_band.where(F.col("size") > BUCKET).select("node", "component", "key")
     large = classes.join(over.select("node").distinct(), "node", "left_semi")
     second = stored(_banded(large, BANDS, SECOND), "second").select("node", F.col("key").alias("other"), F.lit(True).alias("again"))
     others = over.select("node", F.col("key").alias("other"), F.lit(False).alias("again")).union(second)
-    twice = over.join(others, "node").where("again OR key < other").select("node", F.xxhash64("key", "other").alias("key"), "again")
-    finer = sized(twice)
-    blocks = F.ceil(F.col("size") / BUCKET).cast("int")
-    own = F.pmod(F.hash("node"), blocks)
-    cut = finer.where(F.col("size") > BUCKET).select("node", "key", "again", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("j"))
-    met = cut.select("node", F.xxhash64("key", F.least("own", "j"), F.greatest("own", "j")).alias("key"), "again")
+    twice = over.join(others, "node").where("again OR key < other")
+    twice = twice.select("node", "component", F.xxhash64("key", "other").alias("key"), "again")
+    finer = _sized(_mixed(twice))
     places = by_band.where(F.col("size") <= BUCKET).select("node", "key", F.lit(False).alias("again"))
-    places = places.union(finer.where(F.col("size") <= BUCKET).select("node", "key", "again")).union(met)
+    places = places.union(finer.where(F.col("size") <= BUCKET).select("node", "key", "again"))
+    places = places.union(_met(finer.where(F.col("size") > BUCKET)))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("band"))
-    split = by_band.where(F.col("size") > BUCKET).groupBy("node").agg(F.bit_or(bit).alias("split"))
-    placed = places.distinct().join(classes.select("node", "marks"), "node").join(split, "node", "left")
-    return stored(placed.select("key", "node", "marks", F.coalesce("split", F.lit(0)).cast("bigint").alias("split"), "again"), "members")
+    split = buckets.where(F.col("size") > BUCKET).groupBy("node").agg(F.bit_or(bit).alias("split"))
+    placed = _in_place(places, classes).join(split, "node", "left").join(known, "node", "left")
+    return stored(placed.select("key", "node", "marks", component, F.coalesce("split", F.lit(0)).cast("bigint").alias("split"), "again"), "members")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """(node, key, again): each two blocks of a large key, but those of one component, in a place of their own.
+
+    A component over BUCKET has blocks for itself, by node; the others share blocks, a component in
+    one. So a key that one component fills but for a few classes has places in proportion to its size.
+    """
+    per = rows.groupBy("key", "component").agg(F.count("*").alias("n"))
+    own = F.when(F.col("n") > BUCKET, F.col("component"))
+    shared = per.groupBy("key").agg(F.sum(F.when(F.col("n") <= BUCKET, F.col("n"))).alias("rest"))
+    per = per.join(shared, "key").select(
+        F.col("key").alias("p_key"), F.col("component").alias("p_component"), own.alias("own"),
+        F.ceil(F.coalesce(F.when(own.isNotNull(), F.col("n")), F.col("rest")) / BUCKET).cast("int").alias("blocks"),
+    )
+    same = F.col("key").eqNullSafe(F.col("p_key")) & F.col("component").eqNullSafe(F.col("p_component"))
+    number = F.pmod(F.when(F.col("own").isNull(), F.hash("component")).otherwise(F.hash("node")), F.col("blocks"))
+    dealt = rows.join(per, same).select("node", "key", "again", "own", number.alias("number"))
+    of = dealt.select(F.col("key").alias("b_key"), F.col("own").alias("b_own"), F.col("number").alias("b_number")).distinct()
+    meet = F.col("key").eqNullSafe(F.col("b_key")) & (F.col("own").isNull() | ~F.col("own").eqNullSafe(F.col("b_own")))
+    here, there = F.xxhash64(F.lit(1), "own", "number"), F.xxhash64(F.lit(1), "b_own", "b_number")
+    return dealt.join(of, meet).select("node", F.xxhash64("key", F.least(here, there), F.greatest(here, there)).alias("key"), "again")
 
 
 def _first_meeting(group: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -258,7 +314,6 @@ def _pairs(members: DataFrame, percent: int, tree: bool) -> DataFrame:
         if held:
             yield emitted(pa.Table.from_batches(held))
 
-    members = members.where(~F.col("again")) if tree else members  # the second round suffices for those
     placed = members.repartition(partitions(members.sparkSession), "key").sortWithinPartitions("key", "node")
     found = placed.mapInArrow(run, f"a {node}, b {node}")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -268,9 +323,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, id_column: str, t
     """The pairs whose full sets are similar enough."""
     pairs = stored(pairs, "pairs")
     involved = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "involved")
-    few = involved.count() <= BROADCAST_IDS
+    held = involved.agg(F.sum(F.octet_length(F.col("id").cast("string")) + 16)).first()[0] or 0
     given = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    needed = given.join(F.broadcast(involved) if few else involved, "id", "left_semi")
+    needed = given.join(F.broadcast(involved) if held <= BROADCAST_BYTES else involved, "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -298,7 +353,8 @@ def grouped(docs: DataFrame, percent: int, id_column: str = "doc_id", text: str
     take their class's component, which no null id can name; alone they have none and are kept.
 
     A first round verifies a spanning forest of the pruned candidates in each place, which joins most
-    of a large group with few pairs; a second one verifies all that still lie between components.
+    of a large group with few pairs; a second one verifies all that still lie between components, in
+    the buckets that hold several.
     """
     return _judged(docs, percent, id_column, text).drop("__row")
 
@@ -308,11 +364,11 @@ def _judged(docs: DataFrame, percent: int, id_column: str, text: str) -> DataFra
     signs = stored(signed(docs, id_column, text), "signs")
     equal = signs.where("n > 0").groupBy("f1", "f2").agg(F.min("id").alias("node"), F.first("marks").alias("marks"))
     classes = stored(equal, "classes")
-    members = _members(classes.where("node IS NOT NULL"))
-    first = stored(_verified(_pairs(members, percent, tree=True), docs, percent, id_column, text), "verified")
+    named_classes = classes.where("node IS NOT NULL")
+    buckets = _buckets(named_classes)
+    first = stored(_verified(_pairs(_linear(named_classes, buckets), percent, tree=True), docs, percent, id_column, text), "verified")
     joined = stored(components(first), "components")
-    known = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    second = _verified(_pairs(known, percent, tree=False), docs, percent, id_column, text)
+    second = _verified(_pairs(_members(named_classes, buckets, joined), percent, tree=False), docs, percent, id_column, text)
     # the first round's components stand for its links, so that only the second's paths are walked
     settled = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
     whole = stored(components(settled.union(second)), "components")

@@ -185,8 +185,37 @@ def test_pairs_of_one_large_bucket_meet(spark, monkeypatch):
     marks[1] = marks[0]
     marks[1, near.ROWS : near.BANDS * near.ROWS : near.ROWS] += 1  # and these two no other, but nearly all values
     classes = spark.createDataFrame([(k, bytearray(m.tobytes())) for k, m in enumerate(marks)], "node long, marks binary")
-    members = near._members(classes).withColumn("component", F.col("node"))
+    known = classes.select("node", F.col("node").alias("component"))
+    members = near._members(classes, near._buckets(classes), known)
     assert got(near._pairs(members, 85, tree=False), "a", "b") == [(0, 1)]
+    # a class that its component tells apart still meets all others in large buckets
+    known = known.withColumn("component", F.when(F.col("node") == 1, 1).otherwise(0).cast("long"))
+    members = near._members(classes, near._buckets(classes), known)
+    assert got(near._pairs(members, 85, tree=False), "a", "b") == [(0, 1)]
+
+
+def test_rows_of_near_copies_grow_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(near, "BUCKET", 16)
+
+    def places(n):
+        r = np.random.Generator(np.random.PCG64(n))
+        marks = np.tile(r.integers(0, 256, near.HASHES, np.uint8), (n, 1))
+        marks[r.random(marks.shape) < 0.02] += 1  # near copies
+        strange = r.integers(0, 256, (2, near.HASHES)).astype(np.uint8)
+        strange[:, : near.ROWS] = marks[0, : near.ROWS]  # two others share their first band
+        rows = [(k, bytearray(m.tobytes())) for k, m in enumerate([*marks, *strange])]
+        classes = spark.createDataFrame(rows, "node long, marks binary")
+        buckets = near._buckets(classes).cache()
+        first = near._linear(classes, buckets).groupBy("key").count().collect()
+        known = classes.select("node", F.when(F.col("node") < n, 0).otherwise(F.col("node")).cast("long").alias("component"))
+        second = near._members(classes, buckets, known).groupBy("key").count().collect()
+        # a random block may hold some more than BUCKET
+        assert max(x["count"] for x in first + second) <= 6 * near.BUCKET
+        return sum(x["count"] for x in first), sum(x["count"] for x in second)
+
+    (first, second), (first2, second2) = places(200), places(400)
+    assert first <= 200 * near.BANDS * 1.2 and first2 < 2.3 * first
+    assert second2 < 2.6 * second
 
 
 @pytest.mark.parametrize("percent", [80, 85])
