@@ -56,7 +56,9 @@ def bitmaps(docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_
     parts = begins.groupBy("h1", "h2", "part").agg(F.sum("begins").alias("docs"), F.min(place).alias("first"))
     totals = parts.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.min("first").alias("first"))
     frequent = totals.where(F.col("docs") >= min_docs).select("h1", "h2", *(["first"] if keep_first else []))
-    gone = lines.join(frequent, ["h1", "h2"])
+    # the null-safe join has a shuffle of its own; on the aggregate's, hot keys could not be split
+    frequent = frequent.withColumnsRenamed({"h1": "f1", "h2": "f2"})
+    gone = lines.join(frequent, F.col("h1").eqNullSafe(F.col("f1")) & F.col("h2").eqNullSafe(F.col("f2"))).drop("f1", "f2")
     if keep_first:
         gone = gone.where(~place.eqNullSafe(F.col("first")))
     word = F.floor(F.col("position") / BITS).cast("int").alias("word")

@@ -10,7 +10,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stellate.llm.shared import WORD, stored
+from stellate.llm.shared import WORD, row_key, stored
 
 #: Cost of a word the first time, the second time, ...: convex, so nothing is repeated early.
 EPOCH_COSTS = (1, 3)
@@ -105,13 +105,15 @@ def mix(docs: DataFrame, quotas: Mapping[str | None, float], id_column: str, siz
     all rows is summed in small groups, over narrow rows.
     """
     names = [c for c in docs.columns if c not in ("repeats", "taken", "mixed_for")]
+    hashed = [f.name for f in docs.schema if f.name in names and "map<" not in f.dataType.simpleString()]
     # json keeps nulls apart from the string "null" and makes the pattern a plain key
     pattern = F.to_json(F.array_sort(F.array_distinct(F.coalesce(F.col(members), F.array().cast("array<string>")))))
     rows = stored(
         docs.select(
             F.struct(*(F.col(f"`{c}`") for c in names)).alias("doc"), F.col(id_column).alias("id"),
             F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("bigint").alias("n"), pattern.alias("pattern"),
-            F.xxhash64(F.lit(seed), F.col(id_column)).alias("h"),
+            # rows without an id are told apart by what they hold, or all would fall into one bucket
+            F.when(F.col(id_column).isNull(), F.xxhash64(F.lit(seed), *(F.col(f"`{c}`") for c in hashed))).otherwise(F.xxhash64(F.lit(seed), F.col(id_column))).alias("h"),
         ),
         "sizes",
     )
@@ -155,8 +157,15 @@ def mix(docs: DataFrame, quotas: Mapping[str | None, float], id_column: str, siz
 
 
 def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken and more: documents by their one source."""
-    sized = stored(docs.select(F.col(id_column).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")), "sized")
+    """doc_id, size, source_size, target, taken, `row` (a hash of the text) and more: documents by their one source.
+
+    Every row gives one; null and empty texts have no size and are not taken, a null source is one of its own, null ids are
+    told apart by their text, and an empty table gives no rows.
+    """
+    sized = docs.select(
+        F.col(id_column).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), row_key(F.col(text)).alias("row")
+    )
+    sized = stored(sized, "sized")
     found = sized.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} sources")
@@ -166,7 +175,7 @@ def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     facts = docs.sparkSession.createDataFrame(table, "__source string, source_size bigint, target double")
     mixed = mix(sized.withColumn("members", F.array("source")), quotas, "doc_id", "size", "members")
     joined = mixed.join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("__source")))
-    return joined.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats", "mixed_for")
+    return joined.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats", "mixed_for", "row")
 
 
 def op1_mix(spark, sf_dir: str) -> DataFrame:

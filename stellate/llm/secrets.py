@@ -29,8 +29,11 @@ _IDENTIFIER = re.compile(
     r"""\b(?:user(?:_?name)?|login|account|client_?id|access_?key(?:_?id)?|key_?id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@+-]{3,})""",
     re.ASCII | re.IGNORECASE,
 )
-_ENDPOINT = re.compile(
-    r"""\b[A-Za-z][A-Za-z0-9+-]*://[^\s"'<>]+|\b(?:host|endpoint|server|database|url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+\.[A-Za-z0-9.:/-]+""",
+_SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+-")
+_SCHEME_START = re.compile(r"\b[A-Za-z]", re.ASCII)
+_ADDRESS = re.compile(r"""[^\s"'<>]+""", re.ASCII)
+_HOST = re.compile(
+    r"""\b(?:host|endpoint|server|database|url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+\.[A-Za-z0-9.:/-]+""",
     re.ASCII | re.IGNORECASE,
 )
 _BLANK = re.compile(r"\n[\x20\x09\x0B-\x0D]*\n")
@@ -42,6 +45,38 @@ COMPLETED_BY = {
 }
 
 
+def endpoints(text: str) -> list[tuple[int, int]]:
+    """Spans of `scheme://address` and `host = name`, leftmost and without overlap.
+
+    Each `://` looks back for where its scheme begins, so a long run of letters and hyphens is
+    walked once and not anew from each of its words.
+    """
+    out: list[tuple[int, int]] = []
+    at, colon = 0, text.find("://")
+    host = _HOST.search(text)
+    while colon >= 0 or host:
+        url = None
+        while colon >= 0 and url is None:
+            begin = colon
+            while begin > at and text[begin - 1] in _SCHEME:
+                begin -= 1
+            start, address = _SCHEME_START.search(text, begin, colon), _ADDRESS.match(text, colon + 3)
+            if start and address:
+                url = start.start(), address.end()
+            else:
+                colon = text.find("://", colon + 1)
+        span = url if url and not (host and host.start() < url[0]) else host and host.span()
+        if span is None:
+            break
+        out.append(span)
+        at = span[1]
+        if 0 <= colon < at:
+            colon = text.find("://", at)
+        if host and host.start() < at:
+            host = _HOST.search(text, at)
+    return out
+
+
 def _entropy(token: str) -> float:
     return -sum(n / len(token) * math.log2(n / len(token)) for n in Counter(token).values())
 
@@ -69,7 +104,7 @@ def candidates(text: str) -> dict[str, list[tuple[int, int]]]:
         found["key"] = keys
         found["identifier"] = [m.span() for m in _IDENTIFIER.finditer(text)]
         if "://" in text or "." in text:
-            found["endpoint"] = [m.span() for m in _ENDPOINT.finditer(text)]
+            found["endpoint"] = endpoints(text)
         strong = np.array(sorted(s for kind in KINDS[:N_STRONG] for s in found[kind])).reshape(-1, 2)
         for kind in KINDS[N_STRONG:]:
             found[kind] = _clear_of(found[kind], strong)
