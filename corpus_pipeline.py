@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stellate.llm import leaks, lines, mix, near, quality
-from stellate.llm.shared import stored
+from stellate.llm.shared import row_key, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +29,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix, with their words and how often each is taken."""
-    return mix.mixed_documents(docs).where("repeats > 0")
+    """The documents of the mix, whole, with their words and how often each is taken.
+
+    A document without words is not taken, and no two others have an id and a text in common here.
+    """
+    taken = mix.mixed_documents(docs).where("repeats > 0").withColumnsRenamed({"doc_id": "__id", "row": "__row"})
+    own = [c for c in taken.columns if c not in docs.columns and not c.startswith("__")]
+    same = docs["doc_id"].eqNullSafe(taken["__id"]) & (row_key(docs["text"]) == taken["__row"])
+    return docs.join(taken, same).select(*(docs[c] for c in docs.columns), *(taken[c] for c in own))
 
 
 STAGES = [
