@@ -99,7 +99,7 @@ class Comparison(NamedTuple):
         return side(self.expected, 0).unionByName(side(self.actual, 1))
 
 
-def compare(comparisons: Mapping[str, Comparison]) -> DataFrame:
+def compare_all(comparisons: Mapping[str, Comparison]) -> DataFrame:
     """All comparisons as (area, metric, key, expected, actual, match).
 
     The sides of all areas are stacked and grouped, which pairs them like null-safe full outer joins
@@ -114,8 +114,15 @@ def compare(comparisons: Mapping[str, Comparison]) -> DataFrame:
     return paired.withColumn("match", same).drop("tolerance")
 
 
-def _alone(comparison: Comparison) -> DataFrame:
-    return compare({"": comparison}).drop("area")
+def compare(
+    expected: DataFrame,
+    actual: DataFrame,
+    key: Column,
+    measures: Mapping[str, tuple[Column, Column]],
+    tolerance: float = 0.0,
+) -> DataFrame:
+    """One comparison as (metric, key, expected, actual, match)."""
+    return compare_all({"": Comparison(expected, actual, key, measures, tolerance)}).drop("area")
 
 
 def _totals(registrations: DataFrame, headline: DataFrame) -> Comparison:
@@ -165,24 +172,24 @@ def _refunds(payments: DataFrame, refund_rate: DataFrame) -> Comparison:
 
 
 def reconcile_totals(registrations: DataFrame, headline: DataFrame) -> DataFrame:
-    return _alone(_totals(registrations, headline))
+    return compare(*_totals(registrations, headline))
 
 
 def reconcile_months(registrations: DataFrame, monthly_revenue: DataFrame) -> DataFrame:
-    return _alone(_months(registrations, monthly_revenue))
+    return compare(*_months(registrations, monthly_revenue))
 
 
 def reconcile_fill(tournaments: DataFrame, registrations: DataFrame, tournament_fill: DataFrame) -> DataFrame:
-    return _alone(_fill(tournaments, registrations, tournament_fill))
+    return compare(*_fill(tournaments, registrations, tournament_fill))
 
 
 def reconcile_players(matches: DataFrame, leaderboard: DataFrame, min_matches: int = MIN_MATCHES) -> DataFrame:
     """Played and won per player; the leaderboard's unknown wins count as none."""
-    return _alone(_players(matches, leaderboard, min_matches))
+    return compare(*_players(matches, leaderboard, min_matches))
 
 
 def reconcile_refunds(payments: DataFrame, refund_rate: DataFrame) -> DataFrame:
-    return _alone(_refunds(payments, refund_rate))
+    return compare(*_refunds(payments, refund_rate))
 
 
 def reconcile(
@@ -193,7 +200,7 @@ def reconcile(
 ) -> DataFrame:
     """Every comparison in one stacked pass, with an area column in front."""
     registrations = sources["registrations"]
-    return compare(
+    return compare_all(
         {
             "totals": _totals(registrations, headline),
             "months": _months(registrations, marts["v_monthly_revenue"]),
