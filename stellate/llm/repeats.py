@@ -30,9 +30,10 @@ OFFSETS = 40
 PIECE = 4 << 20
 PLACE_BITS = 23
 SHARD_BYTES, PLACE_BYTES = 256 << 10, 512 << 10
+#: Symbols by which one round of the merge refines the order; LENGTH is a multiple.
+STEP = 8
 #: Strings with one core compared in one place; windows of more are counted by 128-bit hash.
 SAME_CORE = 4096
-BROADCAST_ROWS = 300_000
 
 
 def _prefix(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,11 +98,16 @@ def runs(given: DataFrame) -> DataFrame:
 
 
 def suffix_order(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The suffixes of a shard's strings by their first 256 bytes; each string ends with a 0."""
+    """The suffixes of a shard's strings by their first LENGTH symbols at least; each string ends with a 0."""
     left = ends - np.arange(len(data))
-    rank = data.astype(np.int64)
-    width = 1
-    while width < 256:
+    width = 7
+    key = np.zeros(len(data), np.int64)
+    for j in range(width):  # seven symbols of nine bits
+        symbol = np.zeros(len(data), np.int64)
+        symbol[: len(data) - j] = data[j:]
+        key = (key << 9) | np.where(j < left, symbol, 0)
+    rank = np.unique(key, return_inverse=True)[1].reshape(-1)
+    while width < LENGTH:
         after = np.arange(len(data)) + width
         second = np.where(width < left, rank[np.minimum(after, len(data) - 1)] + 1, 0)
         key = rank * (int(second.max(initial=0)) + 1) + second
@@ -110,15 +116,24 @@ def suffix_order(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
+def _stable_order(rank: np.ndarray) -> np.ndarray:
+    """Stable argsort of ranks in 32 bits, 16 bits at a time, which numpy sorts by radix."""
+    order = np.argsort((rank & 0xFFFF).astype(np.uint16), kind="stable")
+    high = (rank >> 16).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
+
+
 def repeated_windows(strings: list[bytes]) -> list[np.ndarray]:
     """For each string the places whose next LENGTH bytes occur at another place of any string.
 
     The strings are split into shards, each sorted by itself. From the shards' transforms alone,
-    the interleave of their suffixes is refined: the order by t + 1 symbols is a stable sort, by
-    the symbol before, of the order by t symbols. Blocks of suffixes with equal first t symbols
-    are carried along, so after LENGTH rounds a block is a repeated interval.
+    the interleave of their suffixes is refined: the order by t + STEP symbols is a stable sort, by
+    the STEP symbols before, of the order by t symbols. Blocks of suffixes with equal first t
+    symbols are carried along. A suffix can share t + STEP symbols with another only if the one
+    STEP after it shares t, so a block of one is settled, with a common prefix below t, and leaves; so do
+    suffixes that would pass the end of their string. What is left at LENGTH are the repeated intervals.
     """
-    symbols, last, places = [], [], []
+    grams, last, places = [], [], []
     base = 0
     sizes = np.cumsum([len(s) + 1 for s in strings])
     for shard in range(int(sizes[-1]) // SHARD_BYTES + 1):
@@ -131,27 +146,34 @@ def repeated_windows(strings: list[bytes]) -> list[np.ndarray]:
         ends = np.repeat(np.cumsum(length), length)
         starts = ends - np.repeat(length, length)
         order = suffix_order(data, ends)
-        before = np.where(order > starts[order], order - 1, ends[order] - 1)
         inverse = np.empty(len(order), np.int64)
         inverse[order] = np.arange(len(order))
-        symbols.append(data[before])
-        last.append(inverse[before] + base)
+        before = np.zeros(len(data), np.uint64)  # the STEP bytes before each place
+        for j in range(STEP if len(data) > STEP else 0):
+            before[STEP:] = (before[STEP:] << np.uint64(8)) | ((data[j : len(data) - STEP + j] - 1) & 0xFF).astype(np.uint64)
+        inside = order - STEP >= starts[order]
+        grams.append((before[order], inside))
+        last.append((inverse[np.where(inside, order - STEP, 0)] + base).astype(np.int32))
         places.append(order + base)
         base += len(data)
-    symbol, step, place = np.concatenate(symbols), np.concatenate(last), np.concatenate(places)
-    merged = np.arange(base)  # shard after shard: the order by no symbol at all
-    block = np.zeros(base, np.int64)
-    for _ in range(LENGTH):
-        before = symbol[merged]
-        order = np.argsort(before, kind="stable")
-        before, old = before[order], block[order]
-        merged = step[merged[order]]
-        new = np.ones(base, bool)
-        new[1:] = (before[1:] != before[:-1]) | (old[1:] != old[:-1])
-        block = np.cumsum(new) - 1
-    count = np.bincount(block)
+    gram, inside = np.concatenate([g for g, _ in grams]), np.concatenate([i for _, i in grams])
+    step, place = np.concatenate(last), np.concatenate(places)
+    rank = np.zeros(base, np.uint32)  # 0: no STEP symbols before
+    rank[inside] = np.unique(gram[inside], return_inverse=True)[1].reshape(-1) + 1
+    merged = np.arange(base, dtype=np.int32)  # shard after shard: the order by no symbol at all
+    block = np.zeros(base, np.int32)
+    for _ in range(LENGTH // STEP):
+        merged, block = merged[inside[merged]], block[inside[merged]]
+        order = _stable_order(rank[merged])
+        merged, block = merged[order], block[order]
+        before = rank[merged]
+        edge = np.ones(len(merged) + 1, bool)
+        edge[1:-1] = (before[1:] != before[:-1]) | (block[1:] != block[:-1])
+        shared = ~(edge[:-1] & edge[1:])
+        merged = step[merged[shared]]
+        block = np.cumsum(edge[:-1], dtype=np.int32)[shared]
     found = np.zeros(base, bool)
-    found[place[merged[count[block] > 1]]] = True
+    found[place[merged]] = True
     out = []
     for end, s in zip(sizes, strings):
         at = end - len(s) - 1
@@ -211,12 +233,18 @@ def _bytes_of(needed: DataFrame) -> DataFrame:
 
 
 def _with_texts(given: DataFrame, pieces: DataFrame, *columns: str) -> DataFrame:
-    """Each text with its list `todo` of pieces; the lists are sent to all tasks if they are few."""
-    todo = stored(pieces.groupBy("id", "row").agg(F.collect_list(F.struct(*columns)).alias("todo")), "todo")
-    todo = todo.withColumnsRenamed({"id": "__id", "row": "__row"})
-    n = todo.agg(F.coalesce(F.sum(F.size("todo")), F.lit(0))).first()[0]
+    """Each text with its list `todo` of pieces. Both sides are shuffled at every size: the pieces grow with the texts."""
+    todo = pieces.groupBy("id", "row").agg(F.collect_list(F.struct(*columns)).alias("todo"))
+    todo = todo.withColumnsRenamed({"id": "__id", "row": "__row"}).hint("merge")
     on = F.col("id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row"))
-    return given.join(F.broadcast(todo) if n <= BROADCAST_ROWS else todo, on).select("id", "row", "text", "todo")
+    return given.join(todo, on).select("id", "row", "text", "todo")
+
+
+def _having(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is listed. The null-safe join does not reuse the shuffle that grouped the
+    keys, so adaptive execution can split a hot one."""
+    listed = keys.select(F.col(key).alias("__key"))
+    return rows.join(listed, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
 
 
 def _merged(strings: DataFrame) -> DataFrame:
@@ -287,13 +315,13 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     given = docs.select(F.col(id_column).alias("id"), row_key(F.col(text)).alias("row"), F.col(text).alias("text"))
     every = runs(given)  # computed twice: cheaper than to keep it
     owners = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    shared = stored(every.join(owners, "h", "left_semi"), "shared")
+    shared = stored(_having(every, owners, "h"), "shared")
     first = F.min(F.struct("id", "row", "start", "windows", "owner")).alias("first")
     kinds = stored(shared.groupBy("h", "c").agg(F.count("*").alias("n"), first), "kinds")
     whole = shared.join(kinds.where("n > 1").select("h", "c"), ["h", "c"], "left_semi")
     whole = whole.select("id", "row", "start", F.col("windows").cast("bigint").alias("windows"))
     several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1").select("h")
-    edges = kinds.join(several, "h", "left_semi").select("first.*")
+    edges = _having(kinds, several, "h").select("first.*")
     strings = stored(_strings(_with_texts(given, edges, "start", "windows", "owner")), "strings")
     alike = strings.groupBy("core", "s").agg(F.count("*").alias("n"), F.min(F.struct("id", "row", "start", "windows")).alias("first"))
     alike = stored(alike, "alike")
