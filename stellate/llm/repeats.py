@@ -28,17 +28,25 @@ OWNER = 48
 #: Windows of a string of step 3 begin within so many bytes.
 OFFSETS = 40
 PIECE = 4 << 20
+#: Bytes whose arrays stay in a processor's cache; short texts are read in halves of it.
+BLOCK = 512 << 10
 PLACE_BITS = 23
-SHARD_BYTES, PLACE_BYTES = 256 << 10, 512 << 10
+SHARD_BYTES, PLACE_BYTES = 64 << 10, 256 << 10
 #: Symbols by which one round of the merge refines the order; LENGTH is a multiple.
 STEP = 8
 #: Strings with one core compared in one place; windows of more are counted by 128-bit hash.
 SAME_CORE = 4096
 
 
+_KNOWN_POWERS = _powers(_BASE, BLOCK + 1), _powers(_BASE_INVERSE, BLOCK + 1)
+
+
 def _prefix(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    inverse = _powers(_BASE_INVERSE, len(data) + 1)
-    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE_VALUES[data] * _powers(_BASE, len(data))))), inverse
+    n = len(data) + 1
+    power, inverse = (x[:n] for x in _KNOWN_POWERS) if n <= BLOCK + 1 else (_powers(_BASE, n), _powers(_BASE_INVERSE, n))
+    prefix = np.zeros(n, np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * power[:-1], out=prefix[1:])
+    return prefix, inverse
 
 
 def _hash(prefix: np.ndarray, inverse: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -54,10 +62,9 @@ def owned_runs(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
     if n < width:
         return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),) * 2
     prefix, inverse = _prefix(data)
-    at = np.arange(n)
-    grams = _hash(prefix, inverse, at, at + OWNER)
+    grams = mix64((prefix[OWNER:] - prefix[:n]) * inverse[:n] + np.uint64(OWNER))
     place = np.uint64((1 << PLACE_BITS) - 1)
-    value = (grams & ~place) | at.astype(np.uint64)
+    value = (grams & ~place) | np.arange(n, dtype=np.uint64)
     padded = np.concatenate((value, np.full(-n % width, np.iinfo(np.uint64).max, np.uint64))).reshape(-1, width)
     before = np.minimum.accumulate(padded, axis=1).ravel()
     after = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
@@ -65,7 +72,7 @@ def owned_runs(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
     owner = (least & place).astype(np.int64)
     ends = np.cumsum(lengths)
     piece = np.repeat(np.arange(len(pieces)), lengths)
-    valid = np.flatnonzero(np.arange(len(owner)) + LENGTH <= ends[piece[: len(owner)]])
+    valid = np.flatnonzero(np.arange(LENGTH, len(owner) + LENGTH) <= np.repeat(ends, lengths)[: len(owner)])
     new = np.ones(len(valid), bool)
     new[1:] = (np.diff(owner[valid]) != 0) | (np.diff(valid) != 1)
     first = valid[new]
@@ -81,8 +88,9 @@ def runs(given: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             raw = texts(batch)
-            short = [k for k, x in enumerate(raw) if len(x) <= PIECE]
-            jobs = [([raw[k] for k in short], np.array(short), 0)] if short else []
+            group = np.cumsum([len(x) for x in raw]) // (BLOCK // 2)
+            short = np.array([k for k, x in enumerate(raw) if len(x) <= PIECE], np.int64)
+            jobs = [([raw[k] for k in own], own, 0) for own in np.split(short, np.flatnonzero(np.diff(group[short])) + 1) if len(own)]
             jobs += [([raw[k][a : a + PIECE + LENGTH - 1]], np.array([k]), a) for k, x in enumerate(raw) if len(x) > PIECE for a in range(0, len(x), PIECE)]
             for pieces, at, offset in jobs:
                 piece, start, windows, owner, h, c = owned_runs(pieces)
