@@ -1,11 +1,17 @@
-"""Token counts: byte-pair merges over ragged numpy arrays, all sequences a step at a time."""
+"""Token counts: byte-pair merges over ragged numpy arrays, all sequences a step at a time.
+
+A word of some thousand bytes has about as many steps as bytes, so the pairs of such a word wait in a heap instead.
+"""
 
 from __future__ import annotations
 
+import heapq
 import json
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +25,9 @@ VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 #: Chunks whose counts a task remembers; beyond that it starts anew, which only costs time.
 REMEMBERED = 500_000
+REMEMBERED_BYTES = 32 << 20
+#: Bytes of a word beyond which its pairs wait in a heap; the counts are the same.
+LONG_WORD = 4096
 
 
 def byte_characters() -> list[str]:
@@ -69,6 +78,11 @@ class MergeTable:
         In each round every word merges its pair of lowest rank at all its places, from the left;
         words without a pair leave. Rounds are as many as the most merges of one word.
         """
+        long = [k for k, w in enumerate(words) if len(w) > LONG_WORD]
+        if long:
+            left = self.count([b"" if len(w) > LONG_WORD else w for w in words])
+            left[long] = [self.count_long(words[k]) for k in long]
+            return left
         left = np.fromiter(map(len, words), np.int64, len(words))
         if not left.sum():
             return left
@@ -102,6 +116,42 @@ class MergeTable:
             symbols, owner = symbols[stays], owner[stays]
         return left
 
+    @cached_property
+    def pairs(self) -> dict[int, tuple[int, int]]:
+        return dict(zip(self.keys[:-1].tolist(), zip(self.ranks[:-1].tolist(), self.merged[:-1].tolist())))
+
+    def count_long(self, word: bytes) -> int:
+        """The same for one word: the pair of lowest rank first, then from the left; n log n steps."""
+        data = np.frombuffer(word, np.uint8)
+        given = self.inner[data]
+        given[-1] = self.last[data[-1]]
+        key = given[:-1] * self.base + given[1:]
+        at = np.searchsorted(self.keys, key)
+        places = np.flatnonzero(self.keys[at] == key)
+        heap = ((self.ranks[at[places]] << 32) | places).tolist()
+        heapq.heapify(heap)
+        n = left = len(given)
+        symbols, after, before = array("q", given.tolist()), array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+        while heap:
+            rank, i = divmod(heapq.heappop(heap), 1 << 32)
+            j = after[i]
+            if symbols[i] < 0 or j == n:
+                continue
+            found = self.pairs.get(symbols[i] * self.base + symbols[j])
+            if found is None or found[0] != rank:  # one of the two has merged meanwhile
+                continue
+            symbols[i], symbols[j] = found[1], -1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            left -= 1
+            for a in (before[i], i):
+                if a >= 0 and after[a] < n:
+                    found = self.pairs.get(symbols[a] * self.base + symbols[after[a]])
+                    if found:
+                        heapq.heappush(heap, found[0] << 32 | a)
+        return left
+
 
 class Counts:
     """Counts tokens of texts; each different chunk between ASCII white space is merged once."""
@@ -109,6 +159,7 @@ class Counts:
     def __init__(self, file: str):
         self.table = MergeTable(file)
         self.known: dict[bytes, int] = {}
+        self.held = 0
 
     def __call__(self, raw: list[bytes]) -> list[int]:
         """Tokens of each text; the chunks of all short texts are merged together."""
@@ -118,9 +169,12 @@ class Counts:
 
     def of_chunks(self, chunks: list[bytes]) -> int:
         new = {c for c in chunks if c not in self.known}
-        if len(self.known) + len(new) > REMEMBERED:
+        size = sum(map(len, new))
+        if len(self.known) + len(new) > REMEMBERED or self.held + size > REMEMBERED_BYTES:
             self.known.clear()
             new = set(chunks)
+            self.held, size = 0, sum(map(len, new))
+        self.held += size
         if new:
             self.learn(list(new))
         return sum(map(self.known.__getitem__, chunks))
@@ -131,12 +185,13 @@ class Counts:
         per_word = dict(zip(words, self.table.count(list(words)).tolist()))
         self.known.update((c, n + sum(map(per_word.__getitem__, ws))) for c, (ws, n) in zip(new, parts))
 
+
 def token_counts(docs: DataFrame, file: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row its id, n_bytes and n_tokens (long).
 
     Null and empty texts have 0 of both. Equal ids give a row each. Special strings in a text
     count as one token; begin and end tokens are not added. No shuffle; a task holds one slice
-    of texts and at most REMEMBERED chunks (a slice with more holds its own).
+    of texts and at most REMEMBERED chunks or REMEMBERED_BYTES (a slice with more holds its own).
     """
     given = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
 

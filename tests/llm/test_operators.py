@@ -249,6 +249,22 @@ def test_token_counts(docs):
     assert got(tokens.token_counts(docs, file), "doc_id", "n_bytes", "n_tokens") == want
 
 
+def test_tokens_of_long_words_and_small_memory(monkeypatch):
+    from tokenizers import Tokenizer
+
+    file = public_tokenizers.path(tokens.VOCABULARY)
+    library = Tokenizer.from_file(file)
+    draw = random.Random(3)
+    mixed = "".join(draw.choice(["the", "ing", "é", "ß", "an", "日"]) for _ in range(3000))
+    texts = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9000)), "a" * 5001, mixed, "x " + "ab" * 3000 + " y"]
+    want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert tokens.Counts(file)([t.encode() for t in texts]) == want
+    monkeypatch.setattr(tokens, "LONG_WORD", 3)
+    monkeypatch.setattr(tokens, "REMEMBERED_BYTES", 10)
+    counts = tokens.Counts(file)
+    assert [counts([t.encode()])[0] for t in [*texts, "one two three one"]] == [*want, 4]
+
+
 def test_quality_rules(docs):
     def repeated(w):
         seen = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
