@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import json
 from collections import defaultdict, deque
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,8 +17,6 @@ EPOCH_COSTS = (1, 3)
 SEED = 7
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = Fraction(3, 2), 2
-#: Patterns that the driver solves for; each is a set of sources, not a document.
-MAX_PATTERNS = 10_000
 LEAST_BUCKET = 256
 
 
@@ -26,23 +24,33 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def targets(sizes: Mapping[str | None, int], weights: Sequence[int] = WEIGHTS) -> dict[str | None, float]:
-    """Weighted shares of SHARE of all words, none above MOST times its source; the rest is reshared.
+def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
+    """source, source_size and target: weighted shares of SHARE of all words, none above MOST times
+    its source; the rest is reshared.
 
-    Sources take the weights in turn, by code point, null last. Exact until the last step.
+    `sizes` has one row for each source. Sources take the weights in turn, by code point, null last.
+    They stay a table, however many there are: their turns come from a range partitioning, and the
+    driver holds only the common level, an exact fraction that rises from round to round.
     """
-    order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: weights[k % len(weights)] for k, s in enumerate(order)}
-    left, open_ = SHARE * sum(sizes.values()), set(order)
-    out: dict[str | None, Fraction] = {}
-    while open_:
-        unit = left / sum(weight[s] for s in open_)
-        full = {s for s in open_ if unit * weight[s] > MOST * sizes[s]}
-        for s in full or open_:
-            out[s] = Fraction(MOST * sizes[s]) if full else unit * weight[s]
-        left -= sum(out[s] for s in full)
-        open_ -= full or open_
-    return {s: float(out[s]) for s in order}
+    first_to_last = F.asc_nulls_last("source")
+    ranged = stored(sizes.select("source", "source_size").orderBy(first_to_last).withColumn("part", F.spark_partition_id()), "sources")
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    starts = ranged.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
+    place = F.col("start") + F.row_number().over(Window.partitionBy("part").orderBy(first_to_last)) - 1
+    turns = stored(ranged.join(starts, "part").select("source", "source_size", (place % len(weights)).cast("int").alias("turn")), "turns")
+    weight = F.get(F.array(*map(F.lit, weights)), F.col("turn"))
+    total, open_weight = turns.agg(F.sum("source_size"), F.sum(weight)).first()
+    level = SHARE * total / open_weight if open_weight else Fraction(0)
+    while True:
+        limit = F.col("source_size").cast("decimal(20,0)") * F.lit(Decimal(MOST * level.denominator))
+        full = limit < weight.cast("decimal(4,0)") * F.lit(Decimal(level.numerator))
+        held, open_weight = turns.agg(F.sum(F.when(full, F.col("source_size"))), F.sum(F.when(~full, weight))).first()
+        higher = (SHARE * total - MOST * (held or 0)) / open_weight if open_weight else level
+        if higher == level:
+            break
+        level = higher
+    shared = F.get(F.array(*(F.lit(float(level * w)) for w in weights)), F.col("turn"))
+    return turns.select("source", "source_size", F.when(full, (MOST * F.col("source_size")).cast("double")).otherwise(shared).alias("target"))
 
 
 def flow(capacity: Mapping[str, int], members: Mapping[str, Sequence[str | None]], quotas: Mapping[str | None, int]) -> dict[tuple[str, str | None], int]:
@@ -90,16 +98,52 @@ def flow(capacity: Mapping[str, int], members: Mapping[str, Sequence[str | None]
     return {route: arcs[k ^ 1][1] for route, k in routes.items() if arcs[k ^ 1][1]}
 
 
-def mix(docs: DataFrame, quotas: Mapping[str | None, float], id_column: str, size: str, members: str, seed: int = SEED) -> DataFrame:
+def routes(patterns: DataFrame, quotas: DataFrame) -> DataFrame:
+    """`patterns` (pattern, words, docs) with `ends`: the words of a pattern, all epochs in turn, go to
+    `source` up to the word `end`, then to the next one.
+
+    The flow falls apart where nothing overlaps: a source that no pattern shares with another one gets
+    what its own pattern holds, a row of a join, however many such sources there are. Only patterns of several
+    sources, and those that share a source with them, reach the driver, where one flow routes them.
+    """
+    listed = patterns.withColumn("members", F.from_json("pattern", "array<string>"))
+    several = listed.where(F.size("members") > 1)
+    touched = several.select(F.explode("members").alias("source")).distinct()
+    single = listed.where(F.size("members") == 1).withColumn("source", F.get("members", 0))
+    goals = quotas.select(F.col("source").alias("named"), "quota")
+    meets = F.col("source").eqNullSafe(F.col("named"))
+    overlapped = touched.select(F.col("source").alias("named"))
+    take = F.least(F.coalesce(F.col("quota"), F.lit(0)), len(EPOCH_COSTS) * F.col("words"))
+    ends = F.when(take > 0, F.array(F.struct(take.alias("end"), "source"))).otherwise(F.array())
+    kind = "array<struct<end:bigint,source:string>>"
+    columns = ("pattern", "words", "docs")
+    alone = single.join(overlapped, meets, "left_anti").join(goals, meets, "left").select(*columns, ends.cast(kind).alias("ends"))
+    empty = listed.where(F.size("members") == 0).select(*columns, F.array().cast(kind).alias("ends"))
+
+    linked = several.collect()
+    if linked:
+        linked += single.join(overlapped, meets, "left_semi").drop("source").collect()
+    quota = {r["named"]: r["quota"] for r in goals.join(touched, meets, "left_semi").collect()} if linked else {}
+    for r in linked:
+        quota |= {s: 0 for s in r["members"] if quota.get(s) is None}
+    reached = defaultdict(list)
+    capacity = {r["pattern"]: r["words"] for r in linked}
+    for (p, source), words in sorted(flow(capacity, {r["pattern"]: r["members"] for r in linked}, quota).items(), key=lambda x: (x[0][0], x[0][1] is None, x[0][1] or "")):
+        reached[p].append(((reached[p][-1][0] if reached[p] else 0) + words, source))
+    solved = [(*(r[c] for c in columns), reached[r["pattern"]]) for r in linked]
+    return alone.union(empty).union(patterns.sparkSession.createDataFrame(solved, f"pattern string, words bigint, docs bigint, ends {kind}"))
+
+
+def mix(docs: DataFrame, quotas: DataFrame, id_column: str, size: str, members: str, seed: int = SEED) -> DataFrame:
     """All columns and `repeats` (times taken), `taken` (words) and `mixed_for` (a source for each time).
 
-    `members` is the array of sources a document belongs to; nulls are a source of that name.
+    `members` is the array of sources a document belongs to; nulls are a source of that name. `quotas`
+    has source and quota, in words; a missing or null quota is 0.
     Documents without a source, of no or unknown size, are not taken. None is taken more often than
     there are EPOCH_COSTS. Documents are whole, so what a source gets is off by a document at
     most. Documents of a pattern are ordered by a seeded hash of the id, then id and size: reruns agree, and
     rows that tie are alike. Input columns of the new names are replaced.
 
-    Only patterns (sets of sources, counted in words) reach the driver, at most MAX_PATTERNS.
     A document's place in its pattern is a sum over buckets of its hash and a sum within its
     bucket; there are as many buckets as documents in one (square root), so even a pattern with a third of
     all rows is summed in small groups, over narrow rows.
@@ -117,28 +161,18 @@ def mix(docs: DataFrame, quotas: Mapping[str | None, float], id_column: str, siz
         ),
         "sizes",
     )
-    totals = rows.groupBy("pattern").agg(F.sum("n").alias("words"), F.count("*").alias("docs")).limit(MAX_PATTERNS + 1).collect()
-    if len(totals) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns; group the sources first")
-    capacity = {r["pattern"]: r["words"] for r in totals}
-    routed = flow(capacity, {p: json.loads(p) for p in capacity}, {s: round(q) for s, q in quotas.items()})
-    plan = []
-    for r in totals:
-        ends, at = [], 0
-        for (p, source), words in sorted(routed.items(), key=lambda x: (x[0][0], x[0][1] is None, x[0][1] or "")):
-            if p == r["pattern"]:
-                at += words
-                ends.append((at, source))
-        plan.append((r["pattern"], r["words"], max(1, int(r["docs"] / max(LEAST_BUCKET, r["docs"] ** 0.5))), ends))
-    spark = docs.sparkSession
-    plans = F.broadcast(spark.createDataFrame(plan, "pattern string, words bigint, buckets int, ends array<struct<end:bigint,source:string>>"))
-    dealt = rows.join(plans, "pattern").withColumn("bucket", F.pmod(F.col("h"), F.col("buckets")))
-    within = Window.partitionBy("pattern", "bucket").orderBy("h", "id", "n").rowsBetween(Window.unboundedPreceding, -1)
+    patterns = stored(rows.groupBy("pattern").agg(F.sum("n").alias("words"), F.count("*").alias("docs")), "patterns")
+    buckets = F.greatest(F.lit(1), F.floor(F.col("docs") / F.greatest(F.lit(float(LEAST_BUCKET)), F.sqrt("docs")))).cast("int")
+    plans = stored(routes(patterns, quotas).select("pattern", "words", "ends", buckets.alias("buckets")), "plans")
+    # one key, so that the partitioning of a join by pattern never serves for a hot pattern's buckets
+    cell = F.struct("pattern", F.pmod(F.col("h"), F.col("buckets")).alias("bucket")).alias("cell")
+    dealt = rows.join(plans, "pattern").select("*", cell)
+    within = Window.partitionBy("cell").orderBy("h", "id", "n").rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.withColumn("inner", F.coalesce(F.sum("n").over(within), F.lit(0)))
-    sums = rows.join(plans, "pattern").groupBy("pattern", F.pmod(F.col("h"), F.col("buckets")).alias("bucket")).agg(F.sum("n").alias("sum"))
-    ahead = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("pattern", "bucket", F.coalesce(F.sum("sum").over(ahead), F.lit(0)).alias("before"))
-    full = placed.join(starts, ["pattern", "bucket"])
+    sums = dealt.groupBy("cell").agg(F.sum("n").alias("sum"))
+    ahead = Window.partitionBy("cell.pattern").orderBy("cell.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("cell", F.coalesce(F.sum("sum").over(ahead), F.lit(0)).alias("before"))
+    full = placed.join(starts, "cell")
 
     # the words of a pattern lie on a line, once for each epoch; a document belongs where its middle lies
     def source_at(epoch: int) -> Column:
@@ -166,15 +200,11 @@ def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         F.col(id_column).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), row_key(F.col(text)).alias("row")
     )
     sized = stored(sized, "sized")
-    found = sized.groupBy("source").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} sources")
-    sizes = {r["source"]: r["n"] for r in found}
-    quotas = targets(sizes)
-    table = [(s, n, quotas[s]) for s, n in sizes.items()]
-    facts = docs.sparkSession.createDataFrame(table, "__source string, source_size bigint, target double")
+    goals = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets")
+    quotas = goals.select("source", F.bround("target").cast("bigint").alias("quota"))
     mixed = mix(sized.withColumn("members", F.array("source")), quotas, "doc_id", "size", "members")
-    joined = mixed.join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("__source")))
+    facts = goals.select(F.col("source").alias("__source"), "source_size", "target")
+    joined = mixed.join(facts, F.col("source").eqNullSafe(F.col("__source")))
     return joined.select("doc_id", "size", "source_size", "target", "taken", "source", "repeats", "mixed_for", "row")
 
 

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stellate.llm import lattice, leaks, lines, mix, near, quality, repeats, secrets, tokens, urls
+from tests.llm.test_queries import plain_targets
 
 ITEM = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma"
 
@@ -51,7 +52,7 @@ def test_mix(docs):
     sizes = Counter()
     for _, text, _, source, *_ in corpus():
         sizes[source] += len(raw(text).split())
-    goal = mix.targets(sizes)
+    goal = {s: float(t) for s, t in plain_targets(sizes).items()}
     assert abs(sum(goal.values()) - 1.5 * sum(sizes.values())) < 1e-6
     for s in sizes:
         own = [r for r in rows if r["source"] == s]
@@ -66,6 +67,38 @@ def test_flow_meets_overlapping_quotas_at_least_cost():
     assert found == {("a", "a"): 10, ("ab", "a"): 2, ("ab", "b"): 8, ("b", "b"): 2}
 
 
+def test_mix_of_more_sources_than_a_driver_should_hold(spark):
+    r = random.Random(5)
+    sizes = {f"host{k}é": r.choice([0, 1, 3, 9, 200]) for k in range(12_000)} | {None: 700, "hot": 40_000}
+    found = mix.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size bigint").repartition(5)).collect()
+    assert {x["source"]: x["target"] for x in found} == {s: float(t) for s, t in plain_targets(sizes).items()}
+    rows = [(k, s, n) for k, (s, n) in enumerate(sizes.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n long").selectExpr("doc_id", "source", "repeat('w ', cast(n AS int)) AS text")
+    goal = plain_targets(sizes)
+    mixed = mix.mixed_documents(docs).collect()
+    assert len(mixed) == len(rows)
+    assert all(abs(x["taken"] - goal[x["source"]]) <= x["size"] for x in mixed)
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_mix_of_overlapping_sources(spark, broadcast):
+    """Overlaps are one flow; sources apart from them, without a quota or a name, are not mixed up with it."""
+    sets = [["a"], ["a", "b"], ["b"], ["c"], [None], ["d"], [], None, ["null"]]
+    rows = [(k, 10, sets[k % 9]) for k in range(900)]
+    docs = spark.createDataFrame(rows, "id long, n long, members array<string>")
+    quotas = spark.createDataFrame([("a", 1500), ("b", 1200), ("c", 400), (None, 5000), ("d", None), ("null", 100)], "source string, quota long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        found = mix.mix(docs, quotas, "id", "n", "members").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got_by = Counter(s for x in found for s in x["mixed_for"])
+    assert {s: 10 * n for s, n in got_by.items()} == {"a": 1500, "b": 1200, "c": 400, None: 2000, "null": 100}
+    assert all(set(x["mixed_for"]) <= set(x["members"] or []) and x["taken"] == 10 * x["repeats"] for x in found)
+    # 2,700 words are wanted of the 3,000 that a, b and both hold: none twice
+    assert all(x["repeats"] <= 1 for x in found if set(x["members"] or []) & {"a", "b"})
+
+
 def test_lm_scores(docs):
     file = public_tokenizers.path(lattice.VOCABULARY)
     rows = lattice.scores(docs.withColumn("train", ~lattice.held_out()), file, "train").collect()

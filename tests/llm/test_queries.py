@@ -35,20 +35,26 @@ def documents(spark):
     return [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "source").collect()]
 
 
-def test_mix_meets_plain_targets(spark):
-    rows = documents(spark)
-    size = {i: len((t or "").encode().split()) for i, t, _ in rows}
-    of = Counter()
-    for i, _, source in rows:
-        of[source] += size[i]
+def plain_targets(of):
     weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sorted(of, key=lambda s: (s is None, s or "")))}
     share, target = Fraction(3, 2) * sum(of.values()), {}
     while len(target) < len(of):
         open_ = [s for s in of if s not in target]
         left = share - sum(target.values())
-        parts = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        unit = left / sum(weight[s] for s in open_)
+        parts = {s: weight[s] * unit for s in open_}
         above = [s for s in open_ if parts[s] > 2 * of[s]]
         target |= {s: Fraction(2 * of[s]) for s in above} if above else parts
+    return target
+
+
+def test_mix_meets_plain_targets(spark):
+    rows = documents(spark)
+    size = {i: len((t or "").encode().split()) for i, t, _ in rows}
+    of = Counter()
+    for i, _, source in rows:
+        of[source] += size[i]
+    target = plain_targets(of)
     found = queries.queries()["op1_mix"](spark, FOLDER).collect()
     source = {i: s for i, _, s in rows}
     assert len(found) == len(rows)
