@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from stellate.llm.shared import mix64, row_key, stored, text_slices, texts, word_lists
 
 VOCABULARY = "piece_bpe_32k.model"
-#: Words of the largest counts that tasks get as a table: a fixed bound, whatever the corpus.
+#: Most words of the largest counts that tasks get as a table: a fixed bound, whatever the corpus.
 #: All other words meet their counts in a join, which therefore has no frequent key.
 HEAD_WORDS = 1 << 17
+#: Steps of the counts' histogram for each doubling.
+STEPS = 16
 #: Different words a task counts before it hands them on.
 HELD_WORDS = 300_000
 #: Taken from each word's count in favour of spelling.
@@ -209,6 +211,21 @@ def fit(counts: DataFrame, ends: int, pieces: Pieces, rounds: int = ROUNDS) -> W
     return WordModel(pieces, tokens + ends, types + (ends > 0), ends)
 
 
+def frequent(counts: DataFrame, most: int = HEAD_WORDS) -> DataFrame:
+    """The words above a count: the least one, of a histogram of a few hundred rows, that at most `most` words reach.
+
+    No sort of all words. What stays below is shared by so many words that none of them is hot.
+    """
+    step = F.floor(F.log2("count") * STEPS).cast("int")
+    held, least = 0, None
+    for row in counts.where("count > 0").groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        held += row["count"]
+        if held > most:
+            break
+        least = row["step"]
+    return counts.where((F.col("count") > 0) & (step >= least) if least is not None else F.lit(False))
+
+
 def scores(docs: DataFrame, file: str, train: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """For each row: id, train, n_tokens, n_known, train_tokens, base_score and score (log10).
 
@@ -227,7 +244,7 @@ def scores(docs: DataFrame, file: str, train: str, id_column: str = "doc_id", te
     ends = given.where("train").count()
     counts = stored(word_counts(given, "train", "text"), "counts")
     model = fit(counts, ends, load_pieces(file))
-    head = counts.orderBy(F.desc("count"), "word").limit(HEAD_WORDS).toArrow()
+    head = frequent(counts).toArrow()
     head_words, head_counts = head.column("word").cast(pa.binary()).to_pylist(), np.asarray(head.column("count"), np.int64)
     # entry 0 stands for all words that are not in the table
     head_base = np.append(0.0, model.base(head_counts))

@@ -110,6 +110,26 @@ def test_lm_scores(docs):
     assert all(-1e6 < r["score"] < 0 for r in rows)
 
 
+@pytest.mark.parametrize("most", [0, 1, 40, 10**6])
+def test_frequent_words_are_bounded_and_above_the_rest(spark, most):
+    counts = {f"w{k}": 10_000 // (k + 1) for k in range(300)} | {"never": 0}
+    found = {r["word"] for r in lattice.frequent(spark.createDataFrame(list(counts.items()), "word string, count long"), most).collect()}
+    assert len(found) <= most and "never" not in found
+    rest = [n for w, n in counts.items() if w not in found]
+    assert min((counts[w] for w in found), default=10**9) > max(rest)
+    assert len(found) >= min(most, 300) * 0.8 - 1
+
+
+def test_scores_do_not_depend_on_the_table_of_frequent_words(docs, monkeypatch):
+    file = public_tokenizers.path(lattice.VOCABULARY)
+    columns = ("doc_id", "n_tokens", "n_known", "base_score", "score")
+    whole = got(lattice.scores(docs.withColumn("train", ~lattice.held_out()), file, "train"), *columns)
+    default = lattice.frequent
+    monkeypatch.setattr(lattice, "frequent", lambda counts: default(counts, 30))
+    for a, b in zip(whole, got(lattice.scores(docs.withColumn("train", ~lattice.held_out()), file, "train"), *columns), strict=True):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-9)
+
+
 def test_lattice_sums_all_segmentations():
     table = [bytes([b]) for b in range(256)] + [b"th", b"the", b"he", "▁t".encode()]
     known = {}
