@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.shared import CHUNK_BYTES, mix64, row_key, text_slices
+from stellate.llm.shared import CHUNK_BYTES, mix64, row_key, stored, text_slices
 
 #: A passage matches an item if it takes at most (100 - PERCENT) % of the item's words as edits.
 PERCENT = 80
@@ -216,7 +216,7 @@ class Index:
         edits = allowed(len(words), self.percent)
         if high - low < len(words) - edits or least_distance(words, text[low:high]) > edits:
             return []
-        first, end, distance = best_match(words.tolist(), text[low:high].tolist())
+        first, end, distance = best_match(words, text[low:high])
         if first == end:
             return [(low + first, low + end, distance)]
         return [*self._within(text, words, low, low + first), (low + first, low + end, distance), *self._within(text, words, low + end, high)]
@@ -233,22 +233,26 @@ def least_distance(item: np.ndarray, region: np.ndarray) -> int:
     return int(cost.min())
 
 
-def best_match(item: list[int], region: list[int]) -> tuple[int, int, int]:
-    """(first, end, distance) of the part of the region with the least edit distance to the item."""
-    cost, origin = [0] * (len(region) + 1), list(range(len(region) + 1))
+def best_match(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
+    """(first, end, distance) of the part of the region with the least edit distance to the item.
+
+    A row of the table at a time. Of equal costs a word against a word comes first, then one that the
+    region lacks, then one that the item lacks; of equal ends the first.
+    """
+    place = np.arange(len(region) + 1)
+    cost, origin = np.zeros(len(region) + 1, np.int64), place
     for word in item:
-        new_cost, new_origin = [cost[0] + 1], [origin[0]]
-        for j, other in enumerate(region):
-            best, where = cost[j] + (word != other), origin[j]
-            if cost[j + 1] + 1 < best:
-                best, where = cost[j + 1] + 1, origin[j + 1]
-            if new_cost[j] + 1 < best:
-                best, where = new_cost[j] + 1, new_origin[j]
-            new_cost.append(best)
-            new_origin.append(where)
-        cost, origin = new_cost, new_origin
-    end = min(range(len(cost)), key=lambda j: (cost[j], j))
-    return origin[end], end, cost[end]
+        lacking, beside = cost + 1, np.append(len(item) + 1, cost[:-1] + (region != word))
+        lacks = lacking < beside
+        lacks[0] = True
+        cost = np.where(lacks, lacking, beside)
+        origin = np.where(lacks, origin, np.append(0, origin[:-1]))
+        # words that the item lacks: a place is reached from the last one whose cost is not beaten from the left
+        ahead = np.minimum.accumulate(cost - place)
+        source = np.maximum.accumulate(np.where(cost - place == ahead, place, 0))
+        cost, origin = ahead + place, origin[source]
+    end = int(cost.argmin())
+    return int(origin[end]), end, int(cost[end])
 
 
 def build_index(rows: list[tuple], percent: int = PERCENT) -> Index:
@@ -269,10 +273,11 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, id_column
     scripts without spaces; distances are in words. Null and empty texts match nothing. Items of
     fewer than MIN_WORDS words match only without edits. Repeated
     rows give repeated matches. Documents are scanned in place, without a shuffle. Items are
-    taken in passes of about PASS_WORDS words, so what a task holds does not grow with them.
+    taken in passes of about PASS_WORDS words, each written before the next, so what a task
+    and the driver hold does not grow with them.
     """
     listed = items.select(F.col(item_column).alias("item"), F.col("text").alias("text"))
-    n_words = F.size(F.split("text", r"\s+"))
+    n_words = F.regexp_count("text", F.lit(f"(?U){_WORD.pattern}"))
     total = listed.agg(F.coalesce(F.sum(F.greatest(n_words, F.lit(0))), F.lit(0))).first()[0]
     passes = max(1, -(-total // PASS_WORDS))
     given = docs.select(F.col(id_column).alias("id"), F.col("text").alias("text"))
@@ -301,7 +306,7 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, id_column
                     names=["id", "item", "start", "end", "distance", "item_words"],
                 )
 
-        part = given.mapInArrow(run, schema)
+        part = stored(given.mapInArrow(run, schema), "matches")
         out = part if out is None else out.union(part)
     return out.withColumnsRenamed({"id": id_column, "item": item_column})
 
