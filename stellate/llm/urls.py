@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,21 +21,27 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Globs over host + path that block what no rule decides. `*` stays within a path segment or
-#: the host, `**` does not; all else is literal.
-GLOBS = ("*adult*/**", "*adult*", "*pills*/**", "*pills*", "*casino*/**", "*casino*", "*porn*/**", "*porn*", "*bets*/**", "*bets*")
+#: Words of a host, between dots and dashes, that block what no rule decides: a list of our own, to be replaced.
+WORDS = ("adult", "bets", "betting", "casino", "escort", "gambling", "pills", "poker", "porn", "spam", "viagra", "xxx")
 
 _SEGMENT, _ANY = "*", "**"
+_TOKEN = re.compile(rb"(\*+)|\[([^]]+)\]|(.)", re.DOTALL)
+
+
+def host_word_globs(words: Sequence[str]) -> tuple[str, ...]:
+    """Globs over host + path that fit where a whole word of the host is one of these."""
+    return tuple(f"{before}{word}{after}" for word in words for before in ("", "*[-.@]") for after in ("", "[-.:/]**"))
+
+
+#: `*` stays within a path segment or the host, `**` does not, `[...]` is any one of these bytes; all else is literal.
+GLOBS = host_word_globs(WORDS)
 
 
 def parse_glob(pattern: str) -> list[bytes | str]:
-    """Literal bytes and the two wildcards; three or more stars are `**`."""
+    """Literals, as the bytes that fit, and the two wildcards; three or more stars are `**`."""
     out: list[bytes | str] = []
-    rest = pattern.encode()
-    while rest:
-        stars = len(rest) - len(rest.lstrip(b"*"))
-        out.append(rest[:1] if not stars else _SEGMENT if stars == 1 else _ANY)
-        rest = rest[max(1, stars) :]
+    for stars, listed, literal in _TOKEN.findall(pattern.encode()):
+        out.append((_SEGMENT if len(stars) == 1 else _ANY) if stars else listed or literal)
     return out
 
 
@@ -85,7 +92,7 @@ def compile_globs(patterns: Sequence[list[bytes | str]]) -> Automaton:
         for token in pattern:
             if isinstance(token, bytes):
                 bit += 1
-                step[token[0], bit // 64] |= np.uint64(1 << bit % 64)
+                step[list(token), bit // 64] |= np.uint64(1 << bit % 64)
             else:
                 crossed = stay[:, bit // 64].copy()
                 stay[:, bit // 64] |= np.uint64(1 << bit % 64)
@@ -164,6 +171,7 @@ fits AS (
   FROM parts p LEFT JOIN rules r
     ON (p.host = r.rule_host OR ends_with(p.host, '.' || r.rule_host)) AND starts_with(p.path, r.rule_path))
 SELECT page_id, host, path, rule,
-  coalesce(verdict, CASE WHEN regexp_matches(host, 'adult|pills|casino|porn|bets') THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(verdict, CASE WHEN regexp_matches(host,
+    '(^|[-.@])(adult|bets|betting|casino|escort|gambling|pills|poker|porn|spam|viagra|xxx)([-.:]|$)') THEN 'block' ELSE 'allow' END) AS verdict
 FROM fits WHERE nth = 1
 """
