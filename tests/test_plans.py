@@ -103,3 +103,16 @@ def test_a_hot_tournament_is_split_in_the_fact_join(spark, tmp_path, monkeypatch
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_merged_partitions_stay_small_unless_the_cluster_names_a_size(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.unset(key)
+    Models(spark, FOLDER)
+    assert spark.conf.get(key) == "8m"
+    spark.conf.set(key, "20KB")
+    try:
+        Models(spark, FOLDER)
+        assert spark.conf.get(key) == "20KB"
+    finally:
+        spark.conf.unset(key)
