@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stellate.operators.keys import orphans
 from stellate.plans import dimensions, facts, marts, pipeline, quality, reconcile, reports, staging
 from stellate.session import prepare, scratch_dir
+from stellate.sinks.releases import Release
 from stellate.sinks.tables import Warehouse, clustered
 from stellate.sources.binding import CLIPPED_CALENDAR, Bound
 from stellate.sources.landing import read_landing, unknown_fields, write_lines
@@ -233,10 +234,7 @@ class Models:
     def deploy(self, warehouse: Warehouse, strict: bool = False, **changed: DataFrame) -> None:
         """The whole build of the sources, some of them changed; known offences are only reported, unless strict."""
         sources = {table: self.source[table] for table in SCHEMAS} | changed
-        day = F.to_date("registered_at")
-        first, last = sources["registrations"].agg(F.min(day), F.max(day)).first()
-        calendar = (first, last) if first else CLIPPED_CALENDAR
-        pipeline.build(warehouse, sources, calendar=calendar, strict=strict)
+        pipeline.build(warehouse, sources, calendar=_days_covered, strict=strict)
 
     def deployed(self, view: str) -> DataFrame:
         """A view of the catalog; its scan names files, so it outlives the databases, which are dropped."""
@@ -270,9 +268,8 @@ class Models:
         column_name, rule, offending, releases, published_rows). The landing would halve the registrations."""
         warehouse = self.warehouse()
         self.deploy(warehouse)
-        registrations = self.source["registrations"].where("registration_id % 2 = 0")
         try:
-            self.deploy(warehouse, strict=True, registrations=registrations)
+            self.deploy(warehouse, strict=True, registrations=_halved(warehouse.release()))
             failed = []
         except quality.QualityError as error:
             failed = [(r.table_name, r.column_name, r.rule, r.offending) for r in error.failed]
@@ -302,6 +299,18 @@ class Models:
         return reduce(DataFrame.unionByName, rows)
 
 
+def _days_covered(raw: pipeline.Tables) -> pipeline.Days:
+    """The days of the registrations; a fixed range if none is known."""
+    day = F.to_date("registered_at")
+    first, last = raw["registrations"].agg(F.min(day), F.max(day)).first()
+    return (first, last) if first else CLIPPED_CALENDAR
+
+
+def _halved(release: Release) -> DataFrame:
+    """Half of the registrations, from a release's landing table: its rows are the source's, which need not be joined again."""
+    return release.table("raw", "registrations").where("registration_id % 2 = 0")
+
+
 # Names of Models attributes that are queries as they stand.
 PLAIN = (
     "stg_clubs",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, Row
 
@@ -14,6 +14,7 @@ from stellate.sinks.tables import Warehouse
 from stellate.sources.schemas import SCHEMAS
 
 Tables = Mapping[str, DataFrame]
+Days = tuple[dt.date, dt.date]
 
 
 def land(draft: Draft, sources: Tables) -> dict[str, DataFrame]:
@@ -36,7 +37,7 @@ def stage(draft: Draft, raw: Tables, as_of: dt.date = AGE_AS_OF) -> dict[str, Da
 def model(
     draft: Draft,
     staged: Tables,
-    calendar: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END),
+    calendar: Days = (CALENDAR_START, CALENDAR_END),
     interleave: bool = False,
 ) -> dict[str, DataFrame]:
     """Dimensions first: the registration fact reads the written tournament dimension.
@@ -67,7 +68,7 @@ class ReconcileError(Exception):
 def build(
     warehouse: Warehouse,
     sources: Tables,
-    calendar: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END),
+    calendar: Days | Callable[[Tables], Days] = (CALENDAR_START, CALENDAR_END),
     as_of: dt.date = AGE_AS_OF,
     min_matches: int = marts.MIN_MATCHES,
     strict: bool = True,
@@ -81,6 +82,8 @@ def build(
     or after it for repeated registrations; ``strict=False`` only reports. With ``reconciled`` a mart that
     differs from the landing rows stops it too. A build that stops publishes nothing: landing tables,
     models and views stay as they were, all of one release, and its files are deleted.
+    A calendar that follows the data is given as a function of the landing tables, which are read for it as
+    they were written.
     """
     check = quality.gate if strict else DataFrame.collect
     warehouse.create_layers()
@@ -90,7 +93,7 @@ def build(
         report = check(quality.run_checks(raw))
         staged = stage(draft, raw, as_of)
         report += check(quality.check_staged(staged["stg_registrations"]))
-        model(draft, staged, calendar, interleave)
+        model(draft, staged, calendar(raw) if callable(calendar) else calendar, interleave)
         if reconciled:
             differing = verify_release(draft.release(), min_matches).where("NOT match").limit(20).collect()
             if differing:

@@ -1,3 +1,4 @@
+import datetime as dt
 import glob
 import re
 
@@ -5,6 +6,7 @@ import pytest
 
 from stellate.operators.keys import orphans
 from stellate.plans import dimensions, facts, marts, pipeline, quality, staging
+from stellate.plans.catalogue import Models
 from stellate.session import scratch_dir
 from stellate.sinks.tables import LAYERS, Warehouse, clustered
 from tests.support import CLUBS, MATCHES, REGISTRATIONS, plan, rows, sources, ts
@@ -183,3 +185,38 @@ def test_clustered_write_is_not_sorted_again(spark):
 
 def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/")
+
+
+def test_tables_are_written_small_and_the_calendar_is_read_from_them(spark, tmp_path):
+    warehouse = Warehouse(spark, prefix="days_", root=str(tmp_path))
+    read = []
+
+    def first_days(raw):
+        read.extend(raw["registrations"].inputFiles())
+        return dt.date(2024, 1, 1), dt.date(2024, 2, 29)
+
+    pipeline.build(warehouse, sources(spark), calendar=first_days)
+    assert warehouse.table("core", "dim_date").count() == 60
+    assert read and all("/tables/raw/registrations/" in f for f in read)
+    written = glob.glob(f"{tmp_path}/days_releases/tables/*/*/**/*.parquet", recursive=True)
+    assert written and all(f.endswith(".zstd.parquet") for f in written)
+
+
+@pytest.mark.parametrize("name", ["strict_gate", "release_reads"])
+def test_later_landings_take_the_rows_landed_first(spark, name, monkeypatch):
+    deploy, landed = Models.deploy, []
+
+    def first_only(self, warehouse, strict=False, **changed):
+        if not changed:
+            return deploy(self, warehouse, strict)
+        landed.append(changed["registrations"])
+        if strict:
+            raise quality.QualityError("stopped")
+
+    monkeypatch.setattr(Models, "deploy", first_only)
+    getattr(Models(spark, "/root/testdata/sf0.001"), name)
+    assert landed
+    for df in landed:
+        assert "Join" not in plan(df) and all("/tables/raw/registrations/" in f for f in df.inputFiles())
+        expected = Models(spark, "/root/testdata/sf0.001").source["registrations"].where("registration_id % 2 = 0")
+        assert df.count() == expected.count() and df.exceptAll(expected).isEmpty()
