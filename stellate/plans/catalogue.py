@@ -287,7 +287,7 @@ class Models:
         warehouse = self.warehouse()
         self.deploy(warehouse)
         pinned = warehouse.release()
-        halved = self.source["registrations"].where("registration_id % 2 = 0")
+        halved = _halved(pinned)
         try:
             self.deploy(warehouse, strict=True, registrations=halved)
         except quality.QualityError:
