@@ -60,7 +60,7 @@ class Warehouse:
         """What the catalog says of each layer that exists: (layer, description, relations)."""
         found = {d.name: d.description for d in self.spark.catalog.listDatabases()}
         return [
-            (layer, found[self.database(layer)], len(self.spark.catalog.listTables(self.database(layer))))
+            (layer, found[self.database(layer)], sum(not t.isTemporary for t in self.spark.catalog.listTables(self.database(layer))))
             for layer in LAYERS
             if self.database(layer) in found
         ]

@@ -18,3 +18,15 @@ def spark(tmp_path_factory):
     )
     yield prepare(session)
     session.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def nothing_left_behind(spark):
+    """Temporary views of one module would be listed, and an unset count of partitions would hold, in the next."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    yield
+    spark.conf.set(key, before)
+    for table in spark.catalog.listTables():
+        if table.isTemporary:
+            spark.catalog.dropTempView(table.name)
