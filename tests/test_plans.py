@@ -116,3 +116,23 @@ def test_merged_partitions_stay_small_unless_the_cluster_names_a_size(spark):
         assert spark.conf.get(key) == "20KB"
     finally:
         spark.conf.unset(key)
+
+
+def test_few_named_partitions_do_not_widen_the_tasks_of_the_monthly_revenue(spark):
+    named, initial = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {key: spark.conf.get(key) for key in (named, initial)}
+    try:
+        spark.conf.set(named, "4")
+        spark.conf.unset(initial)
+        for query in ("revenue_by_month", "revenue_first_rows", "reconcile_months"):
+            text = plan(getattr(Models(spark, FOLDER), query))
+            assert "hashpartitioning(registration_id" in text and ", 4), ENSURE_REQUIREMENTS" not in text
+        spark.conf.set(named, "600")  # more than the fewest: no start of our own stays behind
+        Models(spark, FOLDER)
+        assert spark.conf.get(initial, None) is None
+        spark.conf.set(initial, "7")
+        Models(spark, FOLDER)
+        assert spark.conf.get(initial) == "7"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
