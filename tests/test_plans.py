@@ -1,5 +1,7 @@
 """The plans that matter at scale: pruned scans, few shuffles, no hot task, nothing in Python."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry
@@ -136,3 +138,56 @@ def test_few_named_partitions_do_not_widen_the_tasks_of_the_monthly_revenue(spar
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_scanned_splits_stay_small_unless_the_cluster_names_a_size(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    spark.conf.unset(key)
+    Models(spark, FOLDER)
+    assert spark.conf.get(key) == "8m"
+    spark.conf.set(key, "64m")
+    try:
+        Models(spark, FOLDER)
+        assert spark.conf.get(key) == "64m"
+    finally:
+        spark.conf.unset(key)
+
+
+@pytest.fixture(scope="module")
+def long_lineitems(spark, tmp_path_factory):
+    """A folder whose lineitems are one file of some 45 MB in row groups of 1 MB."""
+    folder = tmp_path_factory.mktemp("long")
+    for table in ("customer", "part", "supplier", "nation"):
+        os.symlink(f"{FOLDER}/{table}.parquet", folder / f"{table}.parquet")
+    lines = spark.range(0, 1_200_000, 1, 1).selectExpr(
+        "id div 4 AS l_orderkey",
+        "id % 200 AS l_partkey",
+        "int(id % 4 + 1) AS l_linenumber",
+        "substr('ARN', int(id % 3 + 1), 1) AS l_returnflag",
+        "'F' AS l_linestatus",
+        "timestamp_ntz '1997-05-01 00:00:00' AS l_shipdate",
+        "uuid() AS l_comment",
+    )
+    lines.write.option("parquet.block.size", 1 << 20).parquet(str(folder / "lineitem.parquet"))
+    orders = spark.range(300_000).selectExpr("id AS o_orderkey", "id % 150 AS o_custkey")
+    orders.write.parquet(str(folder / "orders.parquet"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("query", ["revenue_first_rows"])
+def test_no_task_scans_and_sorts_a_whole_file(spark, long_lineitems, query):
+    least = "spark.sql.files.minPartitionNum"  # or Spark would split by the cores of this machine
+    size = "spark.sql.files.maxPartitionBytes"
+    spark.conf.unset(size)
+    spark.conf.set(least, "1")
+    try:
+        spark.sparkContext.setJobGroup(f"scans of {query}", query)
+        assert getattr(Models(spark, long_lineitems), query).collect()
+        tracker = spark.sparkContext.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(f"scans of {query}")]
+        stages = [tracker.getStageInfo(s) for job in jobs for s in job.stageIds]
+        # The shuffles of this session start with 4 partitions, so a wider stage is one that scans.
+        assert max(stage.numTasks for stage in stages if stage) >= 5
+    finally:
+        spark.conf.unset(least)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
