@@ -174,7 +174,7 @@ def long_lineitems(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("query", ["revenue_first_rows"])
+@pytest.mark.parametrize("query", ["revenue_first_rows", "reconcile_months"])
 def test_no_task_scans_and_sorts_a_whole_file(spark, long_lineitems, query):
     least = "spark.sql.files.minPartitionNum"  # or Spark would split by the cores of this machine
     size = "spark.sql.files.maxPartitionBytes"
