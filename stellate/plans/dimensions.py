@@ -66,18 +66,17 @@ def dim_club(clubs: DataFrame) -> DataFrame:
     )
 
 
+# What the tournament dimension reads of the staged clubs.
+CLUB_COLUMNS = ("club_id", "club_name", "city", "country")
+
+
 def dim_tournament(tournaments: DataFrame, clubs: DataFrame) -> DataFrame:
     """From staged tournaments and clubs; a tournament of an unknown club keeps NULL club columns.
 
     No broadcast is asked for: Spark broadcasts the clubs while they are under its
     threshold and shuffles both sides beyond it.
     """
-    club = clubs.select(
-        "club_id",
-        "club_name",
-        F.col("city").alias("club_city"),
-        F.col("country").alias("club_country"),
-    )
+    club = clubs.select(*CLUB_COLUMNS).withColumnsRenamed({"city": "club_city", "country": "club_country"})
     return tournaments.join(club, "club_id", "left").select(
         F.col("tournament_id").alias("tournament_key"),
         "tournament_name",

@@ -17,6 +17,9 @@ LAYOUT = {
     "fct_match_participation": ("match_date", ("tournament_key", "player_key"), ("match_id", "team")),
 }
 
+# What the registration fact reads of the tournament dimension.
+TOURNAMENT_COLUMNS = ("tournament_key", "club_key", "category", "surface")
+
 
 def fct_registration(registrations: DataFrame, tournaments: DataFrame) -> DataFrame:
     """One row per staged registration of a known tournament; a refund counts as no revenue.
@@ -24,7 +27,7 @@ def fct_registration(registrations: DataFrame, tournaments: DataFrame) -> DataFr
     No broadcast is asked for: Spark sends the dimension to all tasks while its bytes are under
     the session's threshold; above, a shuffle join splits hot tournaments.
     """
-    tournament = tournaments.select("tournament_key", "club_key", "category", "surface")
+    tournament = tournaments.select(*TOURNAMENT_COLUMNS)
     refunded = F.col("payment_status") == "refunded"
     return registrations.join(tournament, F.col("tournament_id") == F.col("tournament_key")).select(
         "registration_id",

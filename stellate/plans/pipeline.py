@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, Row
 
 from stellate.functions.dates import AGE_AS_OF, CALENDAR_END, CALENDAR_START
+from stellate.operators.sides import broadcast_by_rows
 from stellate.plans import dimensions, facts, marts, quality, reconcile, reports, staging
 from stellate.sinks.releases import Draft, Release
 from stellate.sinks.tables import Warehouse
@@ -42,17 +43,20 @@ def model(
 ) -> dict[str, DataFrame]:
     """Dimensions first: the registration fact reads the written tournament dimension.
 
+    Clubs and tournaments are joined as written tables, whose files say little of their rows, so their rows
+    are measured before one of them may be broadcast.
     With ``interleave`` the facts' files are narrow in each cluster key, not in the first only.
     """
     core = {
         "dim_date": dimensions.dim_date(draft.spark, *calendar),
         "dim_player": dimensions.dim_player(staged["stg_players"]),
         "dim_club": dimensions.dim_club(staged["stg_clubs"]),
-        "dim_tournament": dimensions.dim_tournament(staged["stg_tournaments"], staged["stg_clubs"]),
+        "dim_tournament": dimensions.dim_tournament(staged["stg_tournaments"], broadcast_by_rows(staged["stg_clubs"], dimensions.CLUB_COLUMNS)),
     }
     core = {name: draft.replace("core", name, df) for name, df in core.items()}
+    tournaments = broadcast_by_rows(core["dim_tournament"], facts.TOURNAMENT_COLUMNS)
     fact_models = {
-        "fct_registration": facts.fct_registration(staged["stg_registrations"], core["dim_tournament"]),
+        "fct_registration": facts.fct_registration(staged["stg_registrations"], tournaments),
         "fct_match_participation": facts.fct_match_participation(staged["stg_matches"]),
     }
     for name, df in fact_models.items():

@@ -8,6 +8,7 @@ from stellate.operators.calendar import date_range, years_spanned
 from stellate.operators.census import Reference, RowRule, census
 from stellate.operators.dedupe import latest_per_key
 from stellate.operators.keys import orphans
+from stellate.operators.sides import broadcast_by_rows, row_bytes
 from stellate.operators.unpivot import unpivot_slots
 from tests.support import plan, rows
 
@@ -172,3 +173,27 @@ def test_census_scans_each_table_once_with_one_keyed_shuffle(spark, tmp_path):
     assert text.count("FileScan") == 2
     assert text.count("Exchange hashpartitioning(owner") + text.count("Exchange hashpartitioning(value") <= 2
     assert "Join" not in text and "Window" not in text
+
+
+def test_row_bytes_are_words_and_texts(spark):
+    df = spark.createDataFrame([(1, "ab", None), (None, None, "\u00e9"), (3, "", "x")], "k bigint, a string, b string")
+    assert row_bytes(df) == 3 * 32 + 2 + 2 + 1
+    assert row_bytes(df.select("k")) == 3 * 16 and row_bytes(df.where("false")) == 0
+
+
+def test_a_side_is_merged_only_over_the_threshold(spark, tmp_path):
+    spark.range(1_000).selectExpr("id AS k", "'x' AS a", "repeat('y', 900) AS b").write.parquet(str(tmp_path / "s"))
+    side, key = spark.read.parquet(str(tmp_path / "s")), "spark.sql.autoBroadcastJoinThreshold"
+    rows_ = spark.range(10).withColumnRenamed("id", "k")
+
+    def joined(*columns):
+        return rows_.join(broadcast_by_rows(side, columns).select(*columns), "k")
+
+    spark.conf.set(key, "50KB")
+    try:
+        assert "BroadcastHashJoin" in plan(joined("k", "a"))  # 25,000 bytes; b is not read
+        assert "SortMergeJoin" in plan(joined("k", "a", "b")) and joined("k", "a", "b").count() == 10
+        spark.conf.set(key, "-1")
+        assert plan(broadcast_by_rows(side, ["k", "b"])) == plan(side)
+    finally:
+        spark.conf.unset(key)

@@ -8,6 +8,7 @@ from stellate.operators.keys import orphans
 from stellate.plans import dimensions, facts, marts, pipeline, quality, staging
 from stellate.plans.catalogue import Models
 from stellate.session import scratch_dir
+from stellate.sinks.releases import Draft
 from stellate.sinks.tables import LAYERS, Warehouse, clustered
 from tests.support import CLUBS, MATCHES, REGISTRATIONS, plan, rows, sources, ts
 
@@ -220,3 +221,37 @@ def test_later_landings_take_the_rows_landed_first(spark, name, monkeypatch):
     for df in landed:
         assert "Join" not in plan(df) and all("/tables/raw/registrations/" in f for f in df.inputFiles())
         assert sorted(r.registration_id for r in df.collect()) == [2, 4, 6]
+
+
+def test_sides_are_broadcast_by_their_rows_not_by_their_files(spark, tmp_path, monkeypatch):
+    many = 5_000
+    clubs = spark.range(many).selectExpr(
+        "id AS club_id", "'North Court' AS name", "'Oslo' AS city", "'NO' AS country",
+        "timestamp '2022-05-01 10:00:00' AS created_at",
+    )
+    tournaments = spark.range(many).selectExpr(
+        "id AS tournament_id", "id AS club_id", "'Cup' AS name", "'Open' AS category", "'Indoor' AS surface",
+        "5000L AS entry_fee_cents", "'AUD' AS currency", "4L AS max_teams", "date '2024-03-01' AS start_date",
+        "date '2024-03-03' AS end_date", "'completed' AS status", "timestamp '2024-01-01 00:00:00' AS created_at",
+    )
+    planned, replace = {}, Draft.replace
+
+    def seen(self, layer, table, df, *layout):
+        planned[table] = plan(df)
+        return replace(self, layer, table, df, *layout)
+
+    monkeypatch.setattr(Draft, "replace", seen)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "100KB")
+    try:
+        for name, changed, join in (("few", {}, "BroadcastHashJoin"), ("many", dict(clubs=clubs, tournaments=tournaments), "SortMergeJoin")):
+            warehouse = Warehouse(spark, prefix=name, root=str(tmp_path), catalog=False)
+            pipeline.build(warehouse, sources(spark) | changed)
+            assert join in planned["dim_tournament"] and join in planned["fct_registration"]
+            dim = warehouse.table("core", "dim_tournament")
+            assert dim.where("club_name = 'North Court' OR club_name = 'South Court'").count() == (many if changed else 2)
+            assert warehouse.table("core", "fct_registration").count() == len(REGISTRATIONS)
+    finally:
+        spark.conf.unset(key)
+    written = glob.glob(f"{tmp_path}/manyreleases/tables/core/dim_tournament/*/*.parquet")
+    assert sum(len(open(f, "rb").read()) for f in written) < 100_000
