@@ -223,8 +223,21 @@ def test_later_landings_take_the_rows_landed_first(spark, name, monkeypatch):
         assert sorted(r.registration_id for r in df.collect()) == [2, 4, 6]
 
 
-def test_sides_are_broadcast_by_their_rows_not_by_their_files(spark, tmp_path, monkeypatch):
-    many = 5_000
+@pytest.fixture
+def planned(monkeypatch):
+    """The plans of a build's tables as they are written: table -> one text a build."""
+    texts, replace = {}, Draft.replace
+
+    def seen(self, layer, table, df, *layout):
+        texts.setdefault(table, []).append(plan(df))
+        return replace(self, layer, table, df, *layout)
+
+    monkeypatch.setattr(Draft, "replace", seen)
+    return texts
+
+
+def alike(spark, many):
+    """Clubs and tournaments that take little of a file and much of a broadcast."""
     clubs = spark.range(many).selectExpr(
         "id AS club_id", "'North Court' AS name", "'Oslo' AS city", "'NO' AS country",
         "timestamp '2022-05-01 10:00:00' AS created_at",
@@ -234,24 +247,35 @@ def test_sides_are_broadcast_by_their_rows_not_by_their_files(spark, tmp_path, m
         "5000L AS entry_fee_cents", "'AUD' AS currency", "4L AS max_teams", "date '2024-03-01' AS start_date",
         "date '2024-03-03' AS end_date", "'completed' AS status", "timestamp '2024-01-01 00:00:00' AS created_at",
     )
-    planned, replace = {}, Draft.replace
+    return dict(clubs=clubs, tournaments=tournaments)
 
-    def seen(self, layer, table, df, *layout):
-        planned[table] = plan(df)
-        return replace(self, layer, table, df, *layout)
 
-    monkeypatch.setattr(Draft, "replace", seen)
+def test_sides_are_broadcast_by_their_rows_not_by_their_files(spark, tmp_path, planned):
     key = "spark.sql.autoBroadcastJoinThreshold"
     spark.conf.set(key, "100KB")
     try:
-        for name, changed, join in (("few", {}, "BroadcastHashJoin"), ("many", dict(clubs=clubs, tournaments=tournaments), "SortMergeJoin")):
+        for name, changed, join in (("few", {}, "BroadcastHashJoin"), ("many", alike(spark, 5_000), "SortMergeJoin")):
             warehouse = Warehouse(spark, prefix=name, root=str(tmp_path), catalog=False)
             pipeline.build(warehouse, sources(spark) | changed)
-            assert join in planned["dim_tournament"] and join in planned["fct_registration"]
+            assert join in planned["dim_tournament"][-1] and join in planned["fct_registration"][-1]
             dim = warehouse.table("core", "dim_tournament")
-            assert dim.where("club_name = 'North Court' OR club_name = 'South Court'").count() == (many if changed else 2)
+            assert dim.where("club_name = 'North Court' OR club_name = 'South Court'").count() == (5_000 if changed else 2)
             assert warehouse.table("core", "fct_registration").count() == len(REGISTRATIONS)
     finally:
         spark.conf.unset(key)
     written = glob.glob(f"{tmp_path}/manyreleases/tables/core/dim_tournament/*/*.parquet")
     assert sum(len(open(f, "rb").read()) for f in written) < 100_000
+
+
+def test_no_build_of_release_reads_broadcasts_many_tournaments(spark, planned):
+    models, key = Models(spark, "/root/testdata/sf0.001"), "spark.sql.autoBroadcastJoinThreshold"
+    models.source = sources(spark) | alike(spark, 5_000)
+    spark.conf.set(key, "100KB")
+    try:
+        reads = models.release_reads.collect()
+    finally:
+        spark.conf.unset(key)
+    assert len(planned["registrations"]) == 3  # the second build stops before its models
+    assert len(planned["fct_registration"]) == len(planned["dim_tournament"]) == 2
+    assert all("BroadcastHashJoin" not in text for table in ("fct_registration", "dim_tournament") for text in planned[table])
+    assert {r.read: r.registrations for r in reads} == {"pinned": 6, "after_failure": 6, "current": 3}
